@@ -12,8 +12,9 @@ from pyspark.sql import types as T
 MONEY = T.DecimalType(10, 2)
 # Sums of money: wide enough for any realistic total; the oracle uses the same.
 MONEY_SUM = T.DecimalType(18, 2)
-# Final ratio type of every KPI.
-RATIO = T.DecimalType(10, 2)
+# Final type of every KPI ratio: two decimals like the warehouse's
+# DECIMAL(10,2), widened so a large ratio cannot overflow (ANSI mode raises).
+RATIO = T.DecimalType(18, 2)
 
 CAMPAIGNS = T.StructType([
     T.StructField("campaign_id", T.IntegerType(), False),
