@@ -97,7 +97,10 @@ def cohort_sessions(clicks: DataFrame, sessions: DataFrame, conversions: DataFra
     linked = sessions.filter(F.col("click_id").isNotNull()).select("session_id", "click_id", "device")
     clk = clicks.select("click_id", "campaign_id", day_of("click_datetime").alias("cohort_date"))
     sess = linked.join(clk, "click_id", "inner")
-    conv = conversions.select("session_id", day_of("conversion_datetime").alias("conversion_date"))
+    # Only the conversion *days* of a session matter: reducing to distinct
+    # (session, day) map-side bounds what one session can bring to the join
+    # by the calendar, however many conversions it has.
+    conv = conversions.select("session_id", day_of("conversion_datetime").alias("conversion_date")).distinct()
     lag = F.datediff(F.col("conversion_date"), F.col("cohort_date"))
     flags = [F.max(F.coalesce(lag.between(0, n), F.lit(False)).cast("int")).alias(f"converted_D{n}")
              for n in COHORT_WINDOWS]
