@@ -351,3 +351,135 @@ def _date_range_filter(m):
     """P4 - sessions per day inside the default range (inclusive ends)."""
     s = m.sessions.filter(in_range(day_of("session_datetime"), *REPORT_RANGE))
     return s.groupBy(day_of("session_datetime").alias("session_date")).agg(F.count(F.lit(1)).alias("sessions"))
+
+
+@query("session_flags")
+def _p3(m):
+    """P3 - per session: first-ever (new) or returning flag."""
+    f = facts.first_sessions(m.sessions)
+    j = m.sessions.select("session_id", "user_id").join(f, "session_id", "left")
+    new = F.coalesce(F.col("is_new_user_session"), F.lit(0))
+    return j.select("session_id", "user_id", new.alias("is_new_user_session"),
+                    (1 - new).alias("is_returning_session"))
+
+
+def _campaign_conversion_totals(m: Model) -> DataFrame:
+    per = facts.session_facts(m.sessions.select("session_id", "campaign_id", "session_datetime"), m.conversions)
+    agg = per.groupBy("campaign_id").agg(F.count(F.lit(1)).alias("sessions"), F.sum("conversions").alias("conversions"))
+    return m.campaigns.select("campaign_id").join(agg, "campaign_id", "left").select(
+        "campaign_id", F.coalesce("sessions", F.lit(0)).alias("sessions"),
+        F.coalesce("conversions", F.lit(0)).alias("conversions"))
+
+
+@query("ratio_null_policy")
+def _p8(m):
+    """P8 - conversions per session per campaign, NULL for an idle campaign."""
+    t = _campaign_conversion_totals(m)
+    return t.select("*", ratio("conversions", "sessions").alias("CPS"))
+
+
+@query("ratio_zero_policy")
+def _p9(m):
+    """P9 - the same ratio with 0.00 for an idle campaign."""
+    t = _campaign_conversion_totals(m)
+    return t.select("*", ratio_or_0("conversions", "sessions").alias("CPS"))
+
+
+@query("join_inner_dim")
+def _j1(m):
+    """J1 - click-day aggregate joined to the campaign dimension (inner)."""
+    return facts.daily_clicks(m.clicks).join(
+        m.campaigns.select("campaign_id", "campaign_name", "channel"), "campaign_id", "inner")
+
+
+@query("join_session_click")
+def _j2(m):
+    """J2 - sessions joined to their click: the click's campaign and day."""
+    s = m.sessions.filter(F.col("click_id").isNotNull()).select("session_id", "click_id")
+    c = m.clicks.select("click_id", F.col("campaign_id").alias("click_campaign_id"),
+                        day_of("click_datetime").alias("click_date"))
+    return s.join(c, "click_id", "inner")
+
+
+@query("join_left_keep_all")
+def _j4(m):
+    """J4 - every campaign with its session count (idle campaigns kept, 0)."""
+    per = m.sessions.groupBy("campaign_id").agg(F.count(F.lit(1)).alias("sessions"))
+    return m.campaigns.select("campaign_id", "campaign_name").join(per, "campaign_id", "left").select(
+        "campaign_id", "campaign_name", F.coalesce("sessions", F.lit(0)).alias("sessions"))
+
+
+@query("join_left_composite")
+def _j5(m):
+    """J5 - click days left-joined to session days on (campaign, date)."""
+    c = facts.daily_clicks(m.clicks).select("campaign_id", "activity_date", "clicks")
+    s = m.sessions.groupBy("campaign_id", day_of("session_datetime").alias("activity_date")).agg(
+        F.count(F.lit(1)).alias("sessions"))
+    return c.join(s, ["campaign_id", "activity_date"], "left").select(
+        "campaign_id", "activity_date", "clicks", F.coalesce("sessions", F.lit(0)).alias("sessions"))
+
+
+@query("join_click_session_left")
+def _j7(m):
+    """J7 - every click with its session (NULL for orphan clicks)."""
+    s = m.sessions.filter(F.col("click_id").isNotNull()).select("click_id", "session_id")
+    return m.clicks.select("click_id", "campaign_id").join(s, "click_id", "left")
+
+
+@query("campaign_date_grid")
+def _j9(m):
+    """J9 - campaign x day grid of the default range (generated per campaign)."""
+    return m.campaigns.select(
+        "campaign_id", F.explode(F.sequence(F.lit(REPORT_RANGE[0]), F.lit(REPORT_RANGE[1]),
+                                            F.expr("INTERVAL 1 DAY"))).alias("date"))
+
+
+@query("agg_basic")
+def _g1(m):
+    """G1/G2/G5 - COUNT(*), COUNT(col) and SUM per campaign over clicks."""
+    return m.clicks.groupBy("campaign_id").agg(
+        F.count(F.lit(1)).alias("rows"), F.count("cost").alias("priced_clicks"),
+        facts.money_sum("cost").alias("cost"))
+
+
+@query("agg_distinct")
+def _g3(m):
+    """G3 - exact COUNT(DISTINCT user_id) of sessions per campaign."""
+    return m.sessions.groupBy("campaign_id").agg(F.countDistinct("user_id").alias("users"))
+
+
+@query("agg_distinct_conditional")
+def _g4(m):
+    """G4 - per session day: distinct sessions and distinct converted sessions."""
+    j = m.sessions.select("session_id", day_of("session_datetime").alias("session_date")).join(
+        m.conversions.select("session_id", "conversion_id"), "session_id", "left")
+    return j.groupBy("session_date").agg(
+        F.countDistinct("session_id").alias("sessions"),
+        F.countDistinct(F.when(F.col("conversion_id").isNotNull(), F.col("session_id"))).alias("converted_sessions"))
+
+
+@query("first_conversion_per_session")
+def _g6(m):
+    """G6 - first conversion id of every session that converted."""
+    return facts.conversions_per_session(m.conversions).select("session_id", "first_conversion_id")
+
+
+@query("two_level_conversion_agg")
+def _g7(m):
+    """G7 - per session, then per campaign: conversions, converted sessions, revenue."""
+    per = facts.session_facts(m.sessions.select("session_id", "campaign_id", "session_datetime"), m.conversions)
+    return per.groupBy("campaign_id").agg(
+        F.sum("conversions").alias("conversions"), F.sum("converted").alias("first_conversions"),
+        facts.money_total("revenue").alias("revenue"))
+
+
+def register_views(spark: SparkSession, sf_dir: str) -> None:
+    """Expose the model tables and the four derived relations as temp views
+    (``campaigns`` ... ``vw_sessions_enriched``, ``vw_campaign_day_kpis``,
+    ``vw_click_cohort``, ``vw_click_cohort_device``) for SQL users."""
+    m = load_model(spark, sf_dir)
+    m.register()
+    views.sessions_enriched(m.sessions).createOrReplaceTempView("vw_sessions_enriched")
+    day_kpis(m).createOrReplaceTempView("vw_campaign_day_kpis")
+    cohort(m).createOrReplaceTempView("vw_click_cohort")
+    cohort_device(m).createOrReplaceTempView("vw_click_cohort_device")
