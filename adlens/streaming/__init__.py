@@ -1,0 +1,6 @@
+"""Streaming entry points.
+
+The warehouse has no streaming constructs; its one ingestion path, the daily
+cost upsert, is offered here as a micro-batch query over arriving feed files
+(:mod:`adlens.streaming.cost_feed`). Everything else is batch.
+"""

@@ -1,0 +1,40 @@
+"""The cost-feed stream applies the batch upsert per micro-batch."""
+
+import datetime as dt
+import tempfile
+from decimal import Decimal as Dec
+
+from adlens.sources.schema import COST_FEED, COSTS_DAILY
+from adlens.streaming import cost_feed
+
+D = dt.date.fromisoformat
+
+
+def test_feed_files_are_upserted_in_order(spark):
+    root = tempfile.mkdtemp(prefix="adlens-stream-")
+    feed_dir, table_root, ckpt = f"{root}/feed", f"{root}/table", f"{root}/ckpt"
+    campaigns = spark.createDataFrame([(1, "A", "S", None), (2, "B", "S", None)],
+                                      "campaign_id int, campaign_name string, channel string, start_date date")
+    start = spark.createDataFrame([(D("2024-03-01"), 1, Dec("10.00"))], COSTS_DAILY)
+    cost_feed.initialise(spark, table_root, start)
+
+    spark.createDataFrame([(D("2024-03-01"), 1, Dec("11.00")), (D("2024-03-02"), 2, Dec("5.00")),
+                           (D("2024-03-02"), 7, Dec("1.00"))], COST_FEED) \
+        .coalesce(1).write.parquet(f"{feed_dir}/part=1")
+    q = cost_feed.start(spark, feed_dir, table_root, campaigns, ckpt)
+    q.awaitTermination(120)
+
+    table = {(r.cost_date, r.campaign_id): r.cost for r in cost_feed.read_current(spark, table_root).collect()}
+    assert table == {(D("2024-03-01"), 1): Dec("11.00"), (D("2024-03-02"), 2): Dec("5.00")}
+    loc = cost_feed.current_version(spark, table_root)
+    audit = sorted(r.action_taken for r in spark.read.parquet(f"{loc}/audit").collect())
+    assert audit == ["INSERT", "UPDATE"]
+    assert [r.error_code for r in spark.read.parquet(f"{loc}/rejects").collect()] == [50034]
+
+    # a second file arrives: the next batch starts from the committed version
+    spark.createDataFrame([(D("2024-03-02"), 2, Dec("6.00"))], COST_FEED) \
+        .coalesce(1).write.parquet(f"{feed_dir}/part=2")
+    q = cost_feed.start(spark, feed_dir, table_root, campaigns, ckpt)
+    q.awaitTermination(120)
+    table = {(r.cost_date, r.campaign_id): r.cost for r in cost_feed.read_current(spark, table_root).collect()}
+    assert table[(D("2024-03-02"), 2)] == Dec("6.00") and len(table) == 2
