@@ -79,7 +79,7 @@ def click_day_kpis(campaigns: DataFrame, clicks: DataFrame, sessions: DataFrame,
         F.count(F.lit(1)).alias("sessions"), F.sum("conversions").alias("conversions"),
         F.sum("converted").alias("first_conversions"), money_sum("revenue").alias("revenue"))
     dim = campaigns.select("campaign_id", "campaign_name", "channel")
-    j = cd.join(dim, "campaign_id", "inner").join(sc, ["campaign_id", "activity_date"], "left")
+    j = cd.join(sc, ["campaign_id", "activity_date"], "left").join(dim, "campaign_id", "inner")
     z = zero_if_null
     return j.select(
         "activity_date", "campaign_name", "channel", "clicks",

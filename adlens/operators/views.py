@@ -72,7 +72,9 @@ def campaign_day_kpis(clicks: DataFrame, sessions: DataFrame, conversions: DataF
     clk = daily_clicks(clicks)
     act = session_day_activity(sessions, conversions)
     dim = campaigns.select("campaign_id", "campaign_name", "channel")
-    j = clk.join(dim, "campaign_id", "inner").join(act, ["campaign_id", "activity_date"], "left")
+    # Both aggregates come out hash-partitioned on (campaign_id, activity_date):
+    # join them first (no exchange), then meet the dimension.
+    j = clk.join(act, ["campaign_id", "activity_date"], "left").join(dim, "campaign_id", "inner")
     z = lambda c: zero_if_null(c)
     return j.select(
         "campaign_id", "campaign_name", "channel", "activity_date",
