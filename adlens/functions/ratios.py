@@ -16,15 +16,14 @@ from __future__ import annotations
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from adlens.sources.schema import RATIO
+from adlens.sources.schema import RATIO_DDL as RATIO
 
-OPERAND = T.DecimalType(18, 2)
+OPERAND = "decimal(18,2)"
 # Numerator type of the weighted cohort ratios (5 decimals) and an integer
 # denominator, as in the cohort rollups.
-COHORT_NUMERATOR = T.DecimalType(18, 5)
-COUNT_DECIMAL = T.DecimalType(18, 0)
+COHORT_NUMERATOR = "decimal(18,5)"
+COUNT_DECIMAL = "decimal(18,0)"
 
 
 def _c(x) -> Column:

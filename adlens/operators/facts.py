@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from adlens.functions.dates import day_of
-from adlens.sources.schema import MONEY_SUM
+from adlens.sources.schema import MONEY_SUM_DDL as MONEY_SUM
 
 
 def money_sum(col: str | Column) -> Column:

@@ -24,7 +24,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from adlens.sources.schema import COSTS_DAILY, MONEY
+from adlens.sources.schema import COSTS_DAILY, MONEY_DDL as MONEY
 
 KEY = ["cost_date", "campaign_id"]
 
@@ -96,7 +96,7 @@ def upsert_costs_daily(target: DataFrame, feed: DataFrame, campaigns: DataFrame,
         F.coalesce("s_campaign_id", "t_campaign_id").alias("campaign_id"),
         F.when(from_feed, F.col("s_cost")).otherwise(F.col("t_cost")).alias("cost"),
     )
-    table = table.select(*[F.col(f.name).cast(f.dataType) for f in COSTS_DAILY.fields])
+    table = table.select(*[F.col(f.name).cast(f.dataType.simpleString()) for f in COSTS_DAILY.fields])
 
     audit = m.filter(from_feed).select(
         F.when(matched, F.lit("UPDATE")).otherwise(F.lit("INSERT")).alias("action_taken"),

@@ -15,6 +15,11 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.ui.enabled": "false",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # PySpark 4 records the Python call site of every Column operation for
+    # error messages (a stack walk plus JVM calls each time). Plans here are
+    # built from hundreds of expressions, so the capture costs more than the
+    # query on small inputs; batch jobs do not need it.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 

@@ -32,10 +32,10 @@ def with_defaults(df: DataFrame, table: str) -> DataFrame:
     present = set(df.columns)
     for f in S.TABLES[table].fields:
         if f.name in present:
-            out.append(F.col(f.name).cast(f.dataType).alias(f.name))
+            out.append(F.col(f.name).cast(f.dataType.simpleString()).alias(f.name))
         else:
             default = DEFAULTS.get((table, f.name))
-            out.append(F.lit(default).cast(f.dataType).alias(f.name))
+            out.append(F.lit(default).cast(f.dataType.simpleString()).alias(f.name))
     return df.select(*out)
 
 

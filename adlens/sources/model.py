@@ -64,7 +64,7 @@ _CACHE: dict[tuple[str, str], Model] = {}
 def conform(df: DataFrame, table: str) -> DataFrame:
     """Project and cast ``df`` to the declared schema of ``table``."""
     sch = _SCHEMAS[table]
-    return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in sch.fields])
+    return df.select(*[F.col(f.name).cast(f.dataType.simpleString()).alias(f.name) for f in sch.fields])
 
 
 def _model_key(sf_dir: str) -> str:

@@ -15,6 +15,12 @@ MONEY_SUM = T.DecimalType(18, 2)
 # Final type of every KPI ratio: two decimals like the warehouse's
 # DECIMAL(10,2), widened so a large ratio cannot overflow (ANSI mode raises).
 RATIO = T.DecimalType(18, 2)
+# The same types as SQL type strings. Casting to a string type is one JVM call;
+# casting to a DataType object also serialises and parses the type, which
+# multiplies the cost of building a plan with hundreds of casts.
+MONEY_DDL = MONEY.simpleString()
+MONEY_SUM_DDL = MONEY_SUM.simpleString()
+RATIO_DDL = RATIO.simpleString()
 
 CAMPAIGNS = T.StructType([
     T.StructField("campaign_id", T.IntegerType(), False),

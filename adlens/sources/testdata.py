@@ -36,7 +36,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from adlens.operators.sequence import running_sums
-from adlens.sources.schema import MONEY
+from adlens.sources.schema import MONEY_DDL as MONEY
 
 # Fixed values of the mapping.
 N_CAMPAIGN_SLOTS = 24            # camp = k % 24
