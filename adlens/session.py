@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -20,6 +21,9 @@ DEFAULT_CONF = {
     # built from hundreds of expressions, so the capture costs more than the
     # query on small inputs; batch jobs do not need it.
     "spark.python.sql.dataFrameDebugging.enabled": "false",
+    # Delete checkpoint files once nothing references them (the per-key
+    # sequence writes one per call).
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
@@ -54,6 +58,12 @@ def checkpoint_root(spark: SparkSession) -> str:
     if current:
         # setCheckpointDir() adds a per-application sub-folder; share the parent.
         return current.rstrip("/").rsplit("/", 1)[0]
-    local = tempfile.mkdtemp(prefix="adlens-ckpt-")
+    if not sc.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...): "
+                           "checkpoints and written intermediate tables go there")
+    # Local session without a checkpoint folder: one scratch root per user, so
+    # separate local processes over the same input share the stored model.
+    local = os.path.join(tempfile.gettempdir(), f"adlens-local-{os.getuid()}")
+    os.makedirs(local, exist_ok=True)
     sc.setCheckpointDir(local)
     return local

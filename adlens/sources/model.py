@@ -48,6 +48,7 @@ class Model:
     costs_daily: DataFrame
     cost_feed: DataFrame
     location: str | None = None
+    reused: bool = False
 
     def table(self, name: str) -> DataFrame:
         return getattr(self, name)
@@ -67,8 +68,21 @@ def conform(df: DataFrame, table: str) -> DataFrame:
     return df.select(*[F.col(f.name).cast(f.dataType.simpleString()).alias(f.name) for f in sch.fields])
 
 
+def _code_fingerprint() -> str:
+    """Hash of the code that decides the stored tables' content, so a stored
+    model from other mapping code is never picked up."""
+    from adlens.operators import sequence
+    from adlens.sources import testdata
+    h = hashlib.sha1()
+    for mod in (testdata, sequence, S):
+        with open(mod.__file__, "rb") as f:
+            h.update(f.read())
+    return h.hexdigest()[:12]
+
+
 def _model_key(sf_dir: str) -> str:
-    raw = f"{os.path.abspath(sf_dir) if '://' not in sf_dir else sf_dir}|v{MODEL_VERSION}"
+    where = os.path.abspath(sf_dir) if "://" not in sf_dir else sf_dir.rstrip("/")
+    raw = f"{where}|v{MODEL_VERSION}|{_code_fingerprint()}"
     return hashlib.sha1(raw.encode()).hexdigest()[:16]
 
 
@@ -114,6 +128,7 @@ def load_model(spark: SparkSession, sf_dir: str, store: bool = True) -> Model:
         return model
     base = f"{checkpoint_root(spark)}/adlens_model/{_model_key(sf_dir)}"
     location = _find_complete(spark, base)
+    reused = location is not None
     if location is None:
         # Each writer uses its own folder, so concurrent builders never
         # overwrite each other; the manifest row is written last.
@@ -130,5 +145,6 @@ def load_model(spark: SparkSession, sf_dir: str, store: bool = True) -> Model:
         spark.createDataFrame([(location, location.rsplit("/", 1)[-1])], "location string, written_by string") \
             .coalesce(1).write.mode("append").parquet(f"{base}/_manifest")
     model = _read_stored(spark, location)
+    model.reused = reused
     _CACHE[key] = model
     return model

@@ -2,7 +2,6 @@ from __future__ import annotations
 
 import os
 import sys
-import tempfile
 
 import pytest
 
@@ -17,9 +16,10 @@ SF_SMALL = "/root/testdata/sf0.001"
 
 @pytest.fixture(scope="session")
 def spark():
-    ckpt = tempfile.mkdtemp(prefix="adlens-test-ckpt-")
+    # spark.checkpoint.dir comes from the session defaults when configured;
+    # adlens.session.checkpoint_root picks a local one only when it is unset.
     s = get_spark(master="local[4]", shuffle_partitions=8, app_name="adlens-tests",
-                  extra={"spark.checkpoint.dir": ckpt, "spark.driver.memory": "4g"})
+                  extra={"spark.driver.memory": "4g"})
     yield s
     s.stop()
 
