@@ -44,3 +44,24 @@ def normalise_label(col: str | Column) -> Column:
     'Mobile' group together), spelled with an initial capital per word."""
     c = F.col(col) if isinstance(col, str) else col
     return F.initcap(F.trim(c))
+
+
+def load_rows(spark: SparkSession, rows: list[tuple], table: str, columns: list[str] | None = None) -> DataFrame:
+    """``INSERT INTO table (columns) VALUES ...``: literal rows with an explicit
+    column list; omitted columns take their defaults (see :func:`with_defaults`)."""
+    fields = {f.name: f for f in S.TABLES[table].fields}
+    cols = columns or list(fields)
+    from pyspark.sql import types as T
+    sch = T.StructType([T.StructField(c, fields[c].dataType, True) for c in cols])
+    return with_defaults(spark.createDataFrame(rows, sch), table)
+
+
+def append_table(df: DataFrame, table: str, location: str) -> None:
+    """Append typed rows to a stored table (batch load)."""
+    with_defaults(df, table).write.mode("append").parquet(location)
+
+
+def refresh_table(df: DataFrame, table: str, location: str) -> None:
+    """Full refresh: write the complete new content to ``location``, which must
+    be a new folder (a table is never overwritten while it may be read)."""
+    with_defaults(df, table).write.mode("errorifexists").parquet(location)

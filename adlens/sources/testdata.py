@@ -94,8 +94,7 @@ def users(spark: SparkSession, sf_dir: str, ev: DataFrame) -> DataFrame:
         F.min(F.when(F.col("event_type") == "signup", F.col("ts"))).cast("date").alias("registration_date"),
     )
     country = (customer.select(F.col("c_custkey").alias("user_id"), "c_nationkey")
-               .join(F.broadcast(nation.select(F.col("n_nationkey").alias("c_nationkey"),
-                                               F.col("n_name").alias("country"))),
+               .join(nation.select(F.col("n_nationkey").alias("c_nationkey"), F.col("n_name").alias("country")),
                      "c_nationkey", "inner")
                .select("user_id", "country"))
     return per_user.join(country, "user_id", "left").select(
