@@ -483,3 +483,7 @@ def register_views(spark: SparkSession, sf_dir: str) -> None:
     day_kpis(m).createOrReplaceTempView("vw_campaign_day_kpis")
     cohort(m).createOrReplaceTempView("vw_click_cohort")
     cohort_device(m).createOrReplaceTempView("vw_click_cohort_device")
+    # The cohort relations under their warehouse names as well, so existing
+    # SQL keeps working unchanged.
+    cohort(m).createOrReplaceTempView("vw_click_cohort_cvr_d0_d7_d30")
+    cohort_device(m).createOrReplaceTempView("vw_click_cohort_device_cvr_d0_d7_d30")

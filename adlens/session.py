@@ -67,3 +67,22 @@ def checkpoint_root(spark: SparkSession) -> str:
     os.makedirs(local, exist_ok=True)
     sc.setCheckpointDir(local)
     return local
+
+
+def cluster_conf(input_bytes: int, target_partition_bytes: int = 256 << 20) -> dict[str, str]:
+    """Suggested settings for a run over ``input_bytes`` of model tables.
+
+    Shuffle partitions (also the slice count of the hot-key-safe sequence)
+    are sized so a partition holds about ``target_partition_bytes``; AQE then
+    merges small ones and splits skewed joins. Pass the result to the session
+    builder; ``spark.checkpoint.dir`` must name a shared folder.
+    """
+    parts = max(8, -(-input_bytes // target_partition_bytes))
+    return {
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
+    }

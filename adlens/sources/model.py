@@ -29,6 +29,9 @@ from adlens.sources.testdata import derive_model
 MODEL_VERSION = "5"
 MODEL_TABLES = ("campaigns", "users", "clicks", "sessions", "conversions", "costs_daily", "cost_feed")
 _SCHEMAS = dict(S.TABLES, cost_feed=S.COST_FEED)
+# Upper bound on rows per written file (a few GB of narrow rows): large slices
+# are split into several files instead of one huge one.
+MAX_RECORDS_PER_FILE = 50_000_000
 # Time-clustered layout: date-range filters skip row groups by statistics.
 _LAYOUT = {
     "clicks": "click_datetime",
@@ -141,7 +144,8 @@ def load_model(spark: SparkSession, sf_dir: str, store: bool = True) -> Model:
                 # min/max statistics then let a date-range scan skip row
                 # groups. Range bounds come from sampling, so no slice is hot.
                 df = df.repartitionByRange(_LAYOUT[name]).sortWithinPartitions(_LAYOUT[name])
-            df.write.mode("errorifexists").parquet(f"{location}/{name}")
+            df.write.mode("errorifexists").option("maxRecordsPerFile", MAX_RECORDS_PER_FILE) \
+                .parquet(f"{location}/{name}")
         spark.createDataFrame([(location, location.rsplit("/", 1)[-1])], "location string, written_by string") \
             .coalesce(1).write.mode("append").parquet(f"{base}/_manifest")
     model = _read_stored(spark, location)
