@@ -84,6 +84,14 @@ def audit_fk(tables: dict[str, DataFrame]) -> DataFrame:
     return _summary(rows)
 
 
+def _per_table(table: str, counts: DataFrame, names: list[str]) -> DataFrame:
+    """One aggregated row of counts -> one row per constraint (unpivot), so a
+    table is scanned once however many constraints it has."""
+    long = counts.unpivot([], names, "constraint_name", "violations")
+    return long.select(F.lit(table).alias("table_name"), "constraint_name",
+                       F.col("violations").cast("long").alias("violations"))
+
+
 def audit_check(tables: dict[str, DataFrame]) -> DataFrame:
     """One pass per table: every CHECK counted in the same aggregation."""
     rows = []
@@ -92,8 +100,7 @@ def audit_check(tables: dict[str, DataFrame]) -> DataFrame:
             continue
         counts = tables[name].agg(*[F.count(F.when(~F.coalesce(cond, F.lit(True)), 1)).alias(c)
                                     for c, cond in checks])
-        for c, _ in checks:
-            rows.append(counts.select(*_one(name, c, F.col(c))))
+        rows.append(_per_table(name, counts, [c for c, _ in checks]))
     return _summary(rows)
 
 
@@ -104,9 +111,8 @@ def audit_not_null(tables: dict[str, DataFrame]) -> DataFrame:
         if name not in tables:
             continue
         cols = S.not_null_columns(name)
-        counts = tables[name].agg(*[F.count(F.when(F.col(c).isNull(), 1)).alias(c) for c in cols])
-        for c in cols:
-            rows.append(counts.select(*_one(name, f"nn_{c}", F.col(c))))
+        counts = tables[name].agg(*[F.count(F.when(F.col(c).isNull(), 1)).alias(f"nn_{c}") for c in cols])
+        rows.append(_per_table(name, counts, [f"nn_{c}" for c in cols]))
     return _summary(rows)
 
 
