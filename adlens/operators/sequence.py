@@ -7,7 +7,10 @@ task into the whole job, so the per-key sequence is computed in three steps:
 1. range-partition the rows on ``(key, order...)`` into ``n`` ordered slices.
    Range bounds come from sampling, so a hot key is cut into many slices.
 2. a window over ``(key, slice)`` gives the running count inside each slice;
-   every ``(key, slice)`` group is at most one slice big.
+   every ``(key, slice)`` group is at most one slice big. The result is
+   written once with ``checkpoint()`` to the shared checkpoint folder, so the
+   steps below all see the same slicing (each exchange would sample its own
+   bounds otherwise) and a lost executor re-reads files instead of re-sampling.
 3. a key can continue from an earlier slice only as the *first* key of a slice,
    so at most ``n - 1`` (key, slice) pairs need an offset. Those offsets are
    computed from slice totals of those keys alone and broadcast - the table's
@@ -67,11 +70,12 @@ def running_sums(df: DataFrame, key: str, order: Sequence[str], flags: dict[str,
     offsets = totals.select(
         key, _SLICE,
         *[F.coalesce(F.sum(f"_tot_{o}").over(before), F.lit(0)).alias(f"_off_{o}") for o in flags])
-    # At most one row per slice: safe to broadcast whatever the data size.
+    # Only a slice's first key can carry an offset: at most n - 1 rows remain,
+    # safe to broadcast whatever the data size.
+    offsets = offsets.filter(" OR ".join(f"_off_{o} > 0" for o in flags))
     joined = local.join(F.broadcast(offsets), [key, _SLICE], "left")
     out_cols = [(F.col(f"_loc_{o}") + F.coalesce(F.col(f"_off_{o}"), F.lit(0))).alias(o) for o in flags]
-    keep = [c for c in df.columns]
-    return joined.select(*keep, *out_cols)
+    return joined.select(*df.columns, *out_cols)
 
 
 def sequence_number(df: DataFrame, key: str, order: Sequence[str], out: str = "seq",
