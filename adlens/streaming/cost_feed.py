@@ -11,9 +11,9 @@ version and writes
     <table_root>/_versions              one row per committed version
 
 A version is committed when its ``_versions`` row exists; readers take the
-highest committed batch. A batch that is retried after a failure rewrites its
-own version folder (same input, same output) before committing, so retries
-are safe; the previous version is never overwritten.
+highest committed batch. Batch ``b`` always starts from the highest version
+below ``b``, so a batch retried after a failure recomputes the same output and
+rewrites only its own folder; earlier versions are never overwritten.
 """
 
 from __future__ import annotations
@@ -38,16 +38,19 @@ def _versions(spark: SparkSession, table_root: str) -> DataFrame | None:
         return None
 
 
-def current_version(spark: SparkSession, table_root: str) -> str | None:
+def current_version(spark: SparkSession, table_root: str, before: int | None = None) -> str | None:
+    """Folder of the highest committed version (below batch ``before`` if given)."""
     v = _versions(spark, table_root)
     if v is None:
         return None
+    if before is not None:
+        v = v.filter(F.col("batch_id") < before)
     row = v.agg(F.max_by("location", "batch_id").alias("location")).first()
     return row.location if row else None
 
 
-def read_current(spark: SparkSession, table_root: str) -> DataFrame:
-    loc = current_version(spark, table_root)
+def read_current(spark: SparkSession, table_root: str, before: int | None = None) -> DataFrame:
+    loc = current_version(spark, table_root, before)
     if loc is None:
         raise FileNotFoundError(f"no committed version under {table_root}")
     return spark.read.schema(COSTS_DAILY).parquet(f"{loc}/costs_daily")
@@ -70,7 +73,9 @@ def apply_batch(spark: SparkSession, table_root: str, campaigns: DataFrame,
                 batch: DataFrame, batch_id: int) -> str:
     """Upsert one feed batch on top of the current version; returns its folder."""
     loc = f"{table_root}/v{batch_id:010d}"
-    res = upsert_costs_daily(read_current(spark, table_root), batch, campaigns)
+    # The base is the latest version *before* this batch: a retried batch
+    # recomputes from the same input instead of reading its own output.
+    res = upsert_costs_daily(read_current(spark, table_root, before=batch_id), batch, campaigns)
     res.table.write.mode("overwrite").parquet(f"{loc}/costs_daily")
     res.audit.write.mode("overwrite").parquet(f"{loc}/audit")
     res.rejects.write.mode("overwrite").parquet(f"{loc}/rejects")

@@ -222,3 +222,17 @@ def test_upsert_twice_is_stable_and_logs_updates(spark, m):
     # an unchanged value is still logged as an update
     assert {(r.action_taken, r.old_cost, r.new_cost) for r in once.audit.collect()
             if r.new_cost_date == D("2024-03-01")} == {("UPDATE", Dec("10.00"), Dec("10.00"))}
+
+
+def test_write_upsert_never_overwrites(spark, m):
+    import tempfile
+
+    from pyspark.errors import AnalysisException
+    feed = spark.createDataFrame([(D("2024-03-02"), 1, Dec("7.00"))], COST_FEED)
+    res = upsert.upsert_costs_daily(m.costs_daily, feed, m.campaigns)
+    where = tempfile.mkdtemp(prefix="adlens-upsert-") + "/v1"
+    paths = upsert.write_upsert(res, where)
+    assert spark.read.parquet(paths["costs_daily"]).count() == 2
+    assert spark.read.parquet(paths["audit"]).first().action_taken == "INSERT"
+    with pytest.raises(AnalysisException):
+        upsert.write_upsert(res, where)
