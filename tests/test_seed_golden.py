@@ -149,3 +149,27 @@ def test_sessions_enriched_sequence(seed):
     rows = views.sessions_enriched(seed.sessions, partitions=4).filter("user_id = 1").orderBy("rn_user_session").collect()
     assert [r.session_id for r in rows] == [1, 2, 9, 13, 23, 31]
     assert [r.is_new_user_session for r in rows] == [1, 0, 0, 0, 0, 0]
+
+
+def test_r1_demo_range_values(seed):
+    rows = {r.campaign_id: r for r in reports.campaign_performance(
+        seed.campaigns, seed.clicks, seed.sessions, seed.conversions, "2024-02-01", "2024-03-31").collect()}
+    a, b, c = rows[1], rows[2], rows[3]
+    assert (a.sessions, a.conversions, a.first_conversions, a.clicks, a.revenue, a.cost) == (
+        16, 10, 10, 0, Decimal("1020.00"), Decimal("0.00"))
+    assert (a.CPS, a.CVR, a.ROAS) == (Decimal("0.63"), Decimal("0.63"), Decimal("0.00"))
+    assert (b.sessions, b.conversions, b.CPS, b.CVR) == (13, 4, Decimal("0.31"), Decimal("0.31"))
+    assert (c.sessions, c.conversions, c.CPS) == (10, 0, Decimal("0.00"))
+    assert [r.campaign_id for r in reports.campaign_performance(
+        seed.campaigns, seed.clicks, seed.sessions, seed.conversions, "2024-02-01", "2024-03-31").collect()] == [1, 2, 3]
+
+
+def test_click_driven_relations_are_empty_without_clicks(seed):
+    day = views.campaign_day_kpis(seed.clicks, seed.sessions, seed.conversions, seed.campaigns)
+    assert day.count() == 0
+    assert insights.campaign_totals(day).count() == 0
+    assert views.click_cohort(seed.clicks, seed.sessions, seed.conversions).count() == 0
+    # ...while the session-driven grid still reports every session
+    grid = reports.campaign_day_performance(seed.campaigns, seed.clicks, seed.sessions, seed.conversions,
+                                            "2024-02-01", "2024-03-31")
+    assert grid.agg(F.sum("sessions")).first()[0] == 39
