@@ -55,3 +55,11 @@ class ReportArgumentError(ValueError):
     def __init__(self, code: int, message: str):
         super().__init__(f"{code}: {message}")
         self.code = code
+
+
+def activity_calendar(df: DataFrame, ts_col: str, name: str = "date") -> DataFrame:
+    """Every calendar day from the first to the last day of ``ts_col`` in
+    ``df`` (days without rows included). One aggregation finds the bounds; the
+    days are generated from that single row, nothing goes through the driver."""
+    bounds = df.agg(F.min(day_of(ts_col)).alias("_lo"), F.max(day_of(ts_col)).alias("_hi"))
+    return bounds.select(F.explode(F.sequence("_lo", "_hi", F.expr("INTERVAL 1 DAY"))).alias(name))

@@ -14,7 +14,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from adlens.functions.dates import date_series, day_of, in_range
+from adlens.functions.dates import activity_calendar, day_of, in_range
 from adlens.functions.ratios import ratio, ratio_or_0
 from adlens.operators import audits, cohorts, facts, insights, reports, upsert, views
 from adlens.operators.keys import surrogate_keys
@@ -313,9 +313,9 @@ def _p10(m):
 
 @query("date_series")
 def _date_series(m):
-    """The report grid's day series, one row per day of the default range."""
-    spark = m.campaigns.sparkSession
-    return date_series(spark, *REPORT_RANGE)
+    """The activity calendar: every day from the first to the last session
+    day (the day series the grid report is built on, over the data's span)."""
+    return activity_calendar(m.sessions, "session_datetime")
 
 
 @query("session_facts")
