@@ -7,16 +7,16 @@ from adlens.plans.catalog import catalog
 from adlens.plans.inspect import operators, plan_text, pushed_filters, scans_of
 from tests.conftest import SF_SMALL
 
-HEAVY = ["vw_campaign_day_kpis", "campaign_performance", "campaign_day_performance", "q04_click_day_kpis",
-         "q07_top_revenue_day", "q10_landing_page_kpis", "q11_device_kpis", "c02_cohort_campaign",
-         "c03_cohort_campaign_device", "costs_upsert_result", "audit_pk", "audit_fk", "q06_new_vs_returning"]
+PYTHON_NODES = {"BatchEvalPython", "ArrowEvalPython", "MapInPandas", "MapInArrow", "FlatMapGroupsInPandas",
+                "FlatMapCoGroupsInPandas", "AggregateInPandas", "WindowInPandas", "PythonMapInArrow"}
 
 
-@pytest.mark.parametrize("name", HEAVY)
-def test_no_pair_emitting_join(spark, name):
-    ops = operators(catalog()[name](spark, SF_SMALL))
+@pytest.mark.parametrize("name", sorted(catalog()))
+def test_no_pair_emitting_join_and_no_python(spark, name):
+    ops = set(operators(catalog()[name](spark, SF_SMALL)))
     assert "CartesianProduct" not in ops
     assert "BroadcastNestedLoopJoin" not in ops
+    assert not (ops & PYTHON_NODES)
 
 
 def test_grid_report_has_no_expand(spark):
