@@ -15,7 +15,6 @@ from pyspark.sql import functions as F
 
 from adlens.sources import schema as S
 
-_SUMMARY = "table_name string, constraint_name string, violations bigint"
 
 
 def _summary(rows: list[DataFrame]) -> DataFrame:

@@ -7,7 +7,6 @@ stored model tables derived from the input folder.
 
 from __future__ import annotations
 
-import datetime as dt
 from collections.abc import Callable
 from functools import reduce
 
@@ -22,7 +21,9 @@ from adlens.operators.topk import top_n
 from adlens.sources.loaders import normalise_label, with_defaults
 from adlens.sources.model import Model, load_model
 
-REPORT_RANGE = (dt.date(2024, 1, 8), dt.date(2024, 1, 21))
+# Defaults inside the test data's month (the warehouse's demo ranges are in
+# February/March 2024 and would select nothing here).
+REPORT_RANGE = reports.DEFAULT_RANGE
 COHORT_RANGE = cohorts.DEFAULT_COHORT_RANGE
 
 QueryFn = Callable[[SparkSession, str], DataFrame]

@@ -4,7 +4,6 @@ import datetime as dt
 from decimal import Decimal as Dec
 
 import pytest
-from pyspark.sql import functions as F
 
 from adlens.operators import cohorts, insights, reports, upsert, views
 from adlens.sources.schema import COST_FEED, ORPHAN_LABEL
