@@ -26,3 +26,12 @@ def test_argument_forms_and_codes():
     with pytest.raises(ReportArgumentError) as e:
         check_range(None, None, 50020, 50021)
     assert e.value.code == 50020
+
+
+def test_cli_list_and_report(spark, capsys):
+    from adlens.__main__ import main
+    assert main(["list"]) == 0
+    assert "campaign_performance" in capsys.readouterr().out.split()
+    assert main(["report", "performance", "--data", "/root/testdata/sf0.001",
+                 "--start", "2024-01-08", "--end", "2024-01-21", "--show", "3"]) == 0
+    assert "campaign_name" in capsys.readouterr().out
