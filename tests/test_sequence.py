@@ -28,10 +28,13 @@ def test_sequence_matches_row_number_with_hot_key(spark):
 
 
 def test_hot_key_is_split_across_slices(spark):
-    df = _skewed(spark)
+    df = _skewed(spark, 30000)
     sliced = df.repartitionByRange(16, "user_id", "t", "event_id").withColumn("p", F.spark_partition_id())
     slices = sliced.filter("user_id = 7").select("p").distinct().count()
     assert slices > 3  # one user no longer means one task
+    # and no slice (hence no window group) is much bigger than the average
+    sizes = [r["count"] for r in sliced.groupBy("p").count().collect()]
+    assert max(sizes) <= 2 * 30000 / 16
 
 
 def test_running_sum_of_flags(spark):
