@@ -65,3 +65,11 @@ def refresh_table(df: DataFrame, table: str, location: str) -> None:
     """Full refresh: write the complete new content to ``location``, which must
     be a new folder (a table is never overwritten while it may be read)."""
     with_defaults(df, table).write.mode("errorifexists").parquet(location)
+
+
+def case_insensitive(col: str | Column, collation: str = "UNICODE_CI_RTRIM") -> Column:
+    """The column under a case- and trailing-space-insensitive collation:
+    grouping, joining and comparing then treat 'Mobile', 'MOBILE' and
+    'mobile ' as one value without rewriting the stored text."""
+    c = F.col(col) if isinstance(col, str) else col
+    return F.collate(c, collation)

@@ -35,3 +35,10 @@ def test_cli_list_and_report(spark, capsys):
     assert main(["report", "performance", "--data", "/root/testdata/sf0.001",
                  "--start", "2024-01-08", "--end", "2024-01-21", "--show", "3"]) == 0
     assert "campaign_name" in capsys.readouterr().out
+
+
+def test_case_insensitive_collation_groups_variants(spark):
+    from adlens.sources.loaders import case_insensitive
+    df = spark.createDataFrame([("Mobile",), ("MOBILE",), ("Mobile ",), ("Desktop",)], "device string")
+    groups = df.groupBy(case_insensitive("device").alias("d")).count().collect()
+    assert sorted(r["count"] for r in groups) == [1, 3]
