@@ -14,6 +14,7 @@ from __future__ import annotations
 import hashlib
 import os
 import uuid
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
@@ -137,7 +138,8 @@ def load_model(spark: SparkSession, sf_dir: str, store: bool = True) -> Model:
         # overwrite each other; the manifest row is written last.
         location = f"{base}/{uuid.uuid4().hex}"
         derived = derive_model(spark, sf_dir)
-        for name in MODEL_TABLES:
+
+        def write(name: str) -> None:
             df = conform(derived[name], name)
             if name in _LAYOUT:
                 # Files hold contiguous time ranges, sorted inside: parquet
@@ -146,6 +148,12 @@ def load_model(spark: SparkSession, sf_dir: str, store: bool = True) -> Model:
                 df = df.repartitionByRange(_LAYOUT[name]).sortWithinPartitions(_LAYOUT[name])
             df.write.mode("errorifexists").option("maxRecordsPerFile", MAX_RECORDS_PER_FILE) \
                 .parquet(f"{location}/{name}")
+
+        # The seven writes are independent jobs; submitted together they share
+        # the executors instead of queueing one after another.
+        with ThreadPoolExecutor(max_workers=len(MODEL_TABLES)) as pool:
+            for f in [pool.submit(write, name) for name in MODEL_TABLES]:
+                f.result()
         spark.createDataFrame([(location, location.rsplit("/", 1)[-1])], "location string, written_by string") \
             .coalesce(1).write.mode("append").parquet(f"{base}/_manifest")
     model = _read_stored(spark, location)
