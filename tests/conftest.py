@@ -26,9 +26,14 @@ def spark():
 
 def make_model(spark, tables: dict[str, list]) -> Model:
     """A Model from literal rows (missing tables are empty)."""
+    from pyspark.sql import types as T
+
+    def loose(sch):  # stored files are read as nullable; audits must see dirty rows
+        return T.StructType([T.StructField(f.name, f.dataType, True) for f in sch.fields])
+
     dfs = {}
     for name, sch in S.TABLES.items():
-        dfs[name] = spark.createDataFrame(tables.get(name, []), sch)
+        dfs[name] = spark.createDataFrame(tables.get(name, []), loose(sch))
     dfs["cost_feed"] = spark.createDataFrame(tables.get("cost_feed", []), S.COST_FEED)
     return Model(**dfs)
 
