@@ -39,7 +39,9 @@ def conversions_per_session(conversions: DataFrame) -> DataFrame:
 def first_sessions(sessions: DataFrame) -> DataFrame:
     """session_id of every user's first session ever (earliest time, then
     lowest id). A per-user MIN aggregates map-side, so a user with millions of
-    sessions costs one partial row per task, unlike a per-user window."""
+    sessions costs one partial row per task, unlike a per-user window. (MIN
+    of a struct plans as a sort-based aggregate: map tasks sort locally and
+    still shuffle only their partial rows.)"""
     first = sessions.groupBy("user_id").agg(
         F.min(F.struct("session_datetime", "session_id")).alias("_first"))
     return first.select(F.col("_first.session_id").alias("session_id"),

@@ -1,7 +1,7 @@
 """Benchmark the headline queries; prints ONE JSON line.
 
 Environment: BENCH_SF_DIR (default /root/testdata/sf0.1), BENCH_CPUS (default 8),
-BENCH_RUNS (timed runs per query, default 3; one warm-up run precedes them).
+BENCH_RUNS (timed runs per query, default 5; one warm-up run precedes them).
 
 Each query's full result goes to the ``noop`` sink (every row is computed, none
 is collected). ``model_build_sec`` is the one-off derivation + write of the model
@@ -45,7 +45,7 @@ HEADLINE = [
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
-    runs = int(os.environ.get("BENCH_RUNS", "3"))
+    runs = int(os.environ.get("BENCH_RUNS", "5"))
     # The checkpoint folder comes from the session (spark-defaults / cluster);
     # adlens only picks one when none is configured.
     spark = get_spark(master=f"local[{cpus}]", shuffle_partitions=cpus, app_name="adlens-bench",
