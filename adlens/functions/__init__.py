@@ -1,0 +1 @@
+"""Column expressions: exact KPI ratios and lift, calendar-day helpers."""

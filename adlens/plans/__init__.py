@@ -1,0 +1,2 @@
+"""The named-query catalog (default parameters, SQL view registration) and
+plan-inspection helpers."""

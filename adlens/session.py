@@ -27,12 +27,21 @@ DEFAULT_CONF = {
 }
 
 
-def get_spark(master: str = "local[*]", shuffle_partitions: int = 8,
+def get_spark(master: str | None = None, shuffle_partitions: int | None = 8,
               app_name: str = "adlens", extra: dict | None = None) -> SparkSession:
-    """Get or create a session with the library defaults (tests, bench, CLI)."""
-    builder = SparkSession.builder.master(master).appName(app_name)
+    """Get or create a session with the library defaults (tests, bench, CLI).
+
+    ``master`` is left to spark-submit / spark-defaults unless given (the
+    launcher falls back to local mode when nothing names one).
+    ``shuffle_partitions=None`` keeps the configured value (use that on a
+    cluster, see :func:`cluster_conf`).
+    """
+    builder = SparkSession.builder.appName(app_name)
+    if master:
+        builder = builder.master(master)
     conf = dict(DEFAULT_CONF)
-    conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
+    if shuffle_partitions:
+        conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})
     for k, v in conf.items():
         builder = builder.config(k, v)
