@@ -48,10 +48,11 @@ def main(argv: list[str] | None = None) -> int:
             fn = reports.campaign_performance if a.kind == "performance" else reports.campaign_day_performance
             df = fn(m.campaigns, m.clicks, m.sessions, m.conversions, a.start, a.end)
         elif a.kind == "campaign-device":
-            df = cohorts.cohort_campaign_device_rollup(cat.cohort_device(m), m.campaigns, a.start, a.end)
+            df = cohorts.cohort_campaign_device_rollup(cat.cohort_device(m, (a.start, a.end)), m.campaigns,
+                                                       a.start, a.end)
         else:
             fn = cohorts.cohort_day_lift if a.kind == "day-lift" else cohorts.cohort_campaign_rollup
-            df = fn(cat.cohort(m), m.campaigns, a.start, a.end)
+            df = fn(cat.cohort(m, (a.start, a.end)), m.campaigns, a.start, a.end)
     df.show(a.show, truncate=False)
     return 0
 

@@ -20,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from adlens.functions.dates import day_of
+from adlens.functions.dates import check_range, day_of, in_range
 from adlens.functions.ratios import cohort_ratio, ratio, zero_if_null
 from adlens.operators.facts import daily_clicks, money_total, session_facts
 from adlens.operators.sequence import sequence_number
@@ -124,9 +124,24 @@ def _with_rates(df: DataFrame) -> DataFrame:
                             for n in COHORT_WINDOWS])
 
 
-def click_cohort(clicks: DataFrame, sessions: DataFrame, conversions: DataFrame) -> DataFrame:
+def _clicks_in(clicks: DataFrame, cohort_start, cohort_end) -> DataFrame:
+    """Clicks of the cohort days ``[cohort_start, cohort_end]`` (all when no
+    range). A cohort row depends only on its own day's clicks, so filtering
+    here gives the same rows as filtering the finished relation - but the
+    filter then reaches both click scans; Catalyst cannot carry a filter on
+    the cohort day into the session side of the cohort join by itself."""
+    if cohort_start is None and cohort_end is None:
+        return clicks
+    start, end = check_range(cohort_start, cohort_end, 50010, 50011)
+    return clicks.filter(in_range(day_of("click_datetime"), start, end))
+
+
+def click_cohort(clicks: DataFrame, sessions: DataFrame, conversions: DataFrame,
+                 cohort_start=None, cohort_end=None) -> DataFrame:
     """campaign_id x cohort_date (click day) for every day with clicks:
-    sessions, sessions_converted_D0/D7/D30, CVR_D0/D7/D30."""
+    sessions, sessions_converted_D0/D7/D30, CVR_D0/D7/D30; optionally only
+    the cohort days in ``[cohort_start, cohort_end]``."""
+    clicks = _clicks_in(clicks, cohort_start, cohort_end)
     per_session = cohort_sessions(clicks, sessions, conversions)
     measured = _cohort_measures(per_session, ["campaign_id", "cohort_date"])
     cohorts = clicks.select("campaign_id", day_of("click_datetime").alias("cohort_date")).distinct()
@@ -137,8 +152,10 @@ def click_cohort(clicks: DataFrame, sessions: DataFrame, conversions: DataFrame)
     return _with_rates(filled)
 
 
-def click_cohort_device(clicks: DataFrame, sessions: DataFrame, conversions: DataFrame) -> DataFrame:
+def click_cohort_device(clicks: DataFrame, sessions: DataFrame, conversions: DataFrame,
+                        cohort_start=None, cohort_end=None) -> DataFrame:
     """campaign_id x cohort_date x device; sessions only (no orphan clicks)."""
+    clicks = _clicks_in(clicks, cohort_start, cohort_end)
     per_session = cohort_sessions(clicks, sessions, conversions)
     measured = _cohort_measures(per_session, ["campaign_id", "cohort_date", "device"])
     return _with_rates(measured)

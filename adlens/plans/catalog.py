@@ -51,12 +51,12 @@ def day_kpis(m: Model) -> DataFrame:
     return views.campaign_day_kpis(m.clicks, m.sessions, m.conversions, m.campaigns)
 
 
-def cohort(m: Model) -> DataFrame:
-    return views.click_cohort(m.clicks, m.sessions, m.conversions)
+def cohort(m: Model, cohort_range=(None, None)) -> DataFrame:
+    return views.click_cohort(m.clicks, m.sessions, m.conversions, *cohort_range)
 
 
-def cohort_device(m: Model) -> DataFrame:
-    return views.click_cohort_device(m.clicks, m.sessions, m.conversions)
+def cohort_device(m: Model, cohort_range=(None, None)) -> DataFrame:
+    return views.click_cohort_device(m.clicks, m.sessions, m.conversions, *cohort_range)
 
 
 def _tables(m: Model) -> dict[str, DataFrame]:
@@ -169,17 +169,17 @@ def _q11(m):
 
 @query("c01_cohort_lift")
 def _c1(m):
-    return cohorts.cohort_day_lift(cohort(m), m.campaigns, *COHORT_RANGE)
+    return cohorts.cohort_day_lift(cohort(m, COHORT_RANGE), m.campaigns, *COHORT_RANGE)
 
 
 @query("c02_cohort_campaign")
 def _c2(m):
-    return cohorts.cohort_campaign_rollup(cohort(m), m.campaigns, *COHORT_RANGE)
+    return cohorts.cohort_campaign_rollup(cohort(m, COHORT_RANGE), m.campaigns, *COHORT_RANGE)
 
 
 @query("c03_cohort_campaign_device")
 def _c3(m):
-    return cohorts.cohort_campaign_device_rollup(cohort_device(m), m.campaigns, *COHORT_RANGE)
+    return cohorts.cohort_campaign_device_rollup(cohort_device(m, COHORT_RANGE), m.campaigns, *COHORT_RANGE)
 
 
 # -- upsert ------------------------------------------------------------------

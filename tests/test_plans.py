@@ -48,3 +48,14 @@ def test_new_flag_uses_aggregate_not_user_window(spark):
 
 def test_top_k_is_take_ordered(spark):
     assert "TakeOrderedAndProject" in operators(catalog()["top5_sessions"](spark, SF_SMALL))
+
+
+@pytest.mark.parametrize("name", ["c01_cohort_lift", "c02_cohort_campaign", "c03_cohort_campaign_device"])
+def test_cohort_range_reaches_every_click_scan(spark, name):
+    import re
+    text = plan_text(catalog()[name](spark, SF_SMALL))
+    blocks = [b for b in re.findall(r"\(\d+\) Scan parquet[^\n]*\n(?:[^\n]+\n)*?ReadSchema: [^\n]*", text)
+              if "/clicks]" in b]
+    assert blocks
+    for b in blocks:
+        assert "GreaterThanOrEqual(click_datetime" in b and "LessThan(click_datetime" in b
