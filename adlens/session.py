@@ -53,9 +53,10 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = 8,
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder for checkpoints and written intermediate tables.
 
-    On a cluster this is whatever ``spark.checkpoint.dir`` names (a shared file
-    system). Only when the session has none (local tests) is a scratch folder
-    created and registered.
+    This is whatever ``spark.checkpoint.dir`` names (on a cluster: a shared file
+    system), or the parent of a checkpoint folder set with ``setCheckpointDir``.
+    Only a local-mode session with neither gets a scratch folder; a cluster
+    session with neither is refused instead of being handed a machine-local path.
     """
     sc = spark.sparkContext
     conf_dir = sc.getConf().get("spark.checkpoint.dir", None)
