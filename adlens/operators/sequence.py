@@ -61,19 +61,23 @@ def running_sums(df: DataFrame, key: str, order: Sequence[str], flags: dict[str,
     checkpoint_root(spark)
     local = local.checkpoint(eager=True)
 
-    # First key of every slice: the only keys that may continue an earlier slice.
-    heads = local.groupBy(_SLICE).agg(F.min(key).alias(key)).select(key).distinct()
-    totals = (local.join(F.broadcast(heads), key, "left_semi")
+    # First key of every slice (NULL sorts first, as in the range partitioning):
+    # the only keys that may continue an earlier slice. Key comparisons below
+    # are NULL-safe, so NULL keys form one group, as in a SQL window.
+    first = F.min(F.struct(F.col(key).isNotNull().alias("nn"), F.col(key).alias("k")))
+    heads = local.groupBy(_SLICE).agg(first.alias("_h")).select(F.col("_h.k").alias("_hk")).distinct()
+    totals = (local.join(F.broadcast(heads), F.col(key).eqNullSafe(F.col("_hk")), "left_semi")
                     .groupBy(key, _SLICE)
                     .agg(*[F.sum(w_cols[o]).alias(f"_tot_{o}") for o in flags]))
     before = Window.partitionBy(key).orderBy(_SLICE).rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select(
-        key, _SLICE,
+        F.col(key).alias("_ok"), F.col(_SLICE).alias("_os"),
         *[F.coalesce(F.sum(f"_tot_{o}").over(before), F.lit(0)).alias(f"_off_{o}") for o in flags])
     # Only a slice's first key can carry an offset: at most n - 1 rows remain,
     # safe to broadcast whatever the data size.
     offsets = offsets.filter(" OR ".join(f"_off_{o} > 0" for o in flags))
-    joined = local.join(F.broadcast(offsets), [key, _SLICE], "left")
+    on = F.col(key).eqNullSafe(F.col("_ok")) & (F.col(_SLICE) == F.col("_os"))
+    joined = local.join(F.broadcast(offsets), on, "left")
     out_cols = [(F.col(f"_loc_{o}") + F.coalesce(F.col(f"_off_{o}"), F.lit(0))).alias(o) for o in flags]
     return joined.select(*df.columns, *out_cols)
 

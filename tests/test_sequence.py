@@ -50,3 +50,14 @@ def test_surrogate_keys_dense(spark):
     got = surrogate_keys(df, ["x"], "k", partitions=8)
     rows = got.agg(F.min("k"), F.max("k"), F.countDistinct("k"), F.sum(F.col("k") - F.col("x"))).first()
     assert tuple(rows) == (1, 2500, 2500, 2500)  # k = x + 1 for every row
+
+
+def test_null_keys_form_one_group(spark):
+    df = spark.range(9000).select(
+        F.when(F.col("id") % 3 == 0, F.lit(None)).otherwise(F.col("id") % 11).cast("long").alias("user_id"),
+        F.col("id").alias("event_id"))
+    got = sequence_number(df, "user_id", ["event_id"], "seq", partitions=12)
+    w = Window.partitionBy("user_id").orderBy("event_id")
+    want = df.withColumn("seq", F.row_number().over(w))
+    assert got.select("event_id", "seq").exceptAll(want.select("event_id", "seq")).count() == 0
+    assert got.filter(F.col("user_id").isNull()).agg(F.max("seq")).first()[0] == 3000
