@@ -25,7 +25,9 @@ Mapping (``k`` = the integer in ``props``, ``camp = k % 24``,
                 before them (dropped when there is none). purchase ->
                 Purchase (revenue v), even signup id -> Registration, odd ->
                 Lead (revenue 0).
-* costs_daily - click cost per (day, campaign) on even days of the month.
+* costs_daily - the stored daily-cost table as it stands before the feed
+                arrives: click cost per (day, campaign) for the even days of
+                the month, so applying the feed both updates and inserts.
 * cost_feed   - the same rollup on every day plus 1.00 (updates and inserts)
                 and invalid rows built from error events with k in 95..99.
 """
