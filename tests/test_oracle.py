@@ -41,3 +41,18 @@ def test_entry_runs(spark):
     df = E.entry(spark)
     rows = df.collect()
     assert len(rows) == 25 and df.columns[:3] == ["campaign_id", "campaign_name", "channel"]
+
+
+SPARK_TO_DUCK = {"int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR", "date": "DATE",
+                 "timestamp_ntz": "TIMESTAMP", "boolean": "BOOLEAN"}
+
+
+def test_column_types_match_the_oracle(spark, con):
+    bad = []
+    for name, fn in E.queries().items():
+        spark_types = {f.name: SPARK_TO_DUCK.get(f.dataType.simpleString(), f.dataType.simpleString())
+                       for f in fn(spark, SF_SMALL).schema.fields}
+        rel = con.sql(SQL[name])
+        duck_types = dict(zip(rel.columns, [str(t) for t in rel.types]))
+        bad += [(name, c, t, duck_types.get(c)) for c, t in spark_types.items() if duck_types.get(c) != t]
+    assert bad == []
