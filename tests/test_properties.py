@@ -56,3 +56,40 @@ def test_load_rows_defaults_and_append(spark):
     append_table(df, "sessions", where)
     append_table(df.withColumn("session_id", F.lit(2).cast("long")), "sessions", where)
     assert read_table(spark, where, "sessions").count() == 2
+
+
+def _expected_upsert(target, feed, known):
+    table = dict(target)
+    actions, rejects = [], []
+    for d, c, v in feed:
+        code = (50030 if d is None else 50031 if c is None else 50032 if v is None else
+                50033 if v < 0 else 50034 if c not in known else None)
+        if code:
+            rejects.append(code)
+            continue
+        actions.append("UPDATE" if (d, c) in table else "INSERT")
+        table[(d, c)] = v
+    return table, sorted(actions), sorted(rejects)
+
+
+_day = st.sampled_from([dt.date(2024, 3, i) for i in range(1, 6)])
+_money = st.integers(-300, 5000).map(lambda c: Decimal(c) / 100)
+
+
+@settings(max_examples=4, deadline=None)
+@given(st.dictionaries(st.tuples(_day, st.integers(1, 3)), st.integers(0, 5000).map(lambda c: Decimal(c) / 100),
+                       max_size=10),
+       st.dictionaries(st.tuples(st.one_of(st.none(), _day), st.one_of(st.none(), st.integers(1, 4))),
+                       st.one_of(st.none(), _money), max_size=12))
+def test_upsert_matches_row_semantics(spark, target, feed_map):
+    from adlens.operators.upsert import upsert_costs_daily
+    from adlens.sources.schema import COST_FEED, COSTS_DAILY
+    feed = [(d, c, v) for (d, c), v in feed_map.items()]
+    campaigns = spark.createDataFrame([(i, f"c{i}", "s", None) for i in (1, 2, 3)],
+                                      "campaign_id int, campaign_name string, channel string, start_date date")
+    res = upsert_costs_daily(spark.createDataFrame([(d, c, v) for (d, c), v in target.items()], COSTS_DAILY),
+                             spark.createDataFrame(feed, COST_FEED), campaigns)
+    table, actions, rejects = _expected_upsert(target, feed, {1, 2, 3})
+    assert {(r.cost_date, r.campaign_id): r.cost for r in res.table.collect()} == table
+    assert sorted(r.action_taken for r in res.audit.collect()) == actions
+    assert sorted(r.error_code for r in res.rejects.collect()) == rejects
