@@ -93,3 +93,42 @@ def test_upsert_matches_row_semantics(spark, target, feed_map):
     assert {(r.cost_date, r.campaign_id): r.cost for r in res.table.collect()} == table
     assert sorted(r.action_taken for r in res.audit.collect()) == actions
     assert sorted(r.error_code for r in res.rejects.collect()) == rejects
+
+
+@settings(max_examples=4, deadline=None)
+@given(st.lists(st.tuples(st.integers(1, 3), st.integers(0, 9), st.booleans()), min_size=1, max_size=25),
+       st.lists(st.tuples(st.integers(0, 24), st.integers(-3, 40)), max_size=40))
+def test_click_cohort_matches_brute_force(spark, click_specs, conv_specs):
+    from adlens.operators.views import click_cohort
+    from tests.conftest import make_model
+    base = dt.datetime(2024, 3, 1, 12, 0)
+    clicks, sessions = [], []
+    for i, (camp, day, has_session) in enumerate(click_specs):
+        clicks.append((i, camp, base + dt.timedelta(days=day), Decimal("1.00")))
+        if has_session:
+            sessions.append((1000 + i, 1, 1, i, "Mobile", "/", base + dt.timedelta(days=day, minutes=5)))
+    session_ids = [s[0] for s in sessions]
+    conversions = []
+    if session_ids:
+        for j, (pick, lag) in enumerate(conv_specs):
+            sid = session_ids[pick % len(session_ids)]
+            click_day = clicks[sid - 1000][2]
+            conversions.append((j, sid, click_day + dt.timedelta(days=lag), "Lead", Decimal("0")))
+    m = make_model(spark, {"campaigns": [(c, f"c{c}", "s", None) for c in (1, 2, 3)],
+                           "clicks": clicks, "sessions": sessions, "conversions": conversions})
+    got = {(r.campaign_id, r.cohort_date): (r.sessions, r.sessions_converted_D0, r.sessions_converted_D7,
+                                            r.sessions_converted_D30)
+           for r in click_cohort(m.clicks, m.sessions, m.conversions).collect()}
+    want = {}
+    for cid, camp, ts, _ in clicks:
+        key = (camp, ts.date())
+        n, d0, d7, d30 = want.get(key, (0, 0, 0, 0))
+        sess = [s for s in sessions if s[3] == cid]
+        if sess:
+            lags = [(cv[2].date() - ts.date()).days for cv in conversions if cv[1] == sess[0][0]]
+            n += 1
+            d0 += any(0 <= x <= 0 for x in lags)
+            d7 += any(0 <= x <= 7 for x in lags)
+            d30 += any(0 <= x <= 30 for x in lags)
+        want[key] = (n, d0, d7, d30)
+    assert got == want
