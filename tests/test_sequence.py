@@ -61,3 +61,12 @@ def test_null_keys_form_one_group(spark):
     want = df.withColumn("seq", F.row_number().over(w))
     assert got.select("event_id", "seq").exceptAll(want.select("event_id", "seq")).count() == 0
     assert got.filter(F.col("user_id").isNull()).agg(F.max("seq")).first()[0] == 3000
+
+
+def test_empty_input_and_more_slices_than_rows(spark):
+    empty = spark.createDataFrame([], "user_id long, event_id long")
+    assert sequence_number(empty, "user_id", ["event_id"], "seq", partitions=8).count() == 0
+    tiny = spark.createDataFrame([(1, 10), (1, 11), (2, 12)], "user_id long, event_id long")
+    got = sorted((r.event_id, r.seq) for r in sequence_number(tiny, "user_id", ["event_id"], "seq",
+                                                                partitions=16).collect())
+    assert got == [(10, 1), (11, 2), (12, 1)]
