@@ -4,6 +4,7 @@
     run NAME --data DIR [--show N]         one registered query (default parameters)
     report performance|day-performance --data DIR --start D --end D [--show N]
     cohorts day-lift|campaign|campaign-device --data DIR --start D --end D [--show N]
+    upsert --data DIR --out NEW_FOLDER     apply the input's cost feed to its daily costs
 
 ``--data`` is the folder with the input parquet tables. The session comes from
 ``get_spark`` (spark-submit / spark-defaults settings apply).
@@ -28,6 +29,8 @@ def main(argv: list[str] | None = None) -> int:
         sp.add_argument("kind", choices=choices)
         sp.add_argument("--start", required=True)
         sp.add_argument("--end", required=True)
+    u = sub.add_parser("upsert")
+    u.add_argument("--out", required=True, help="new folder for costs_daily, audit and rejects")
     for sp in sub.choices.values():
         sp.add_argument("--data", default="/root/testdata/sf0.01")
         sp.add_argument("--show", type=int, default=50)
@@ -38,6 +41,14 @@ def main(argv: list[str] | None = None) -> int:
         print("\n".join(sorted(cat.catalog())))
         return 0
     spark = get_spark()
+    if a.cmd == "upsert":
+        from adlens.operators.upsert import upsert_costs_daily, write_upsert
+        from adlens.sources.model import load_model
+        m = load_model(spark, a.data)
+        paths = write_upsert(upsert_costs_daily(m.costs_daily, m.cost_feed, m.campaigns), a.out)
+        spark.read.parquet(paths["audit"]).groupBy("action_taken").count().show()
+        print("\n".join(f"{k}: {v}" for k, v in paths.items()))
+        return 0
     if a.cmd == "run":
         df = cat.catalog()[a.name](spark, a.data)
     else:

@@ -42,3 +42,13 @@ def test_case_insensitive_collation_groups_variants(spark):
     df = spark.createDataFrame([("Mobile",), ("MOBILE",), ("Mobile ",), ("Desktop",)], "device string")
     groups = df.groupBy(case_insensitive("device").alias("d")).count().collect()
     assert sorted(r["count"] for r in groups) == [1, 3]
+
+
+def test_cli_upsert_writes_new_folder(spark, capsys):
+    import tempfile
+
+    from adlens.__main__ import main
+    out = tempfile.mkdtemp(prefix="adlens-cli-") + "/costs_v2"
+    assert main(["upsert", "--data", "/root/testdata/sf0.001", "--out", out]) == 0
+    assert spark.read.parquet(out + "/costs_daily").count() > 0
+    assert {r.action_taken for r in spark.read.parquet(out + "/audit").collect()} == {"INSERT", "UPDATE"}
