@@ -52,3 +52,12 @@ def test_cli_upsert_writes_new_folder(spark, capsys):
     assert main(["upsert", "--data", "/root/testdata/sf0.001", "--out", out]) == 0
     assert spark.read.parquet(out + "/costs_daily").count() > 0
     assert {r.action_taken for r in spark.read.parquet(out + "/audit").collect()} == {"INSERT", "UPDATE"}
+
+
+def test_cli_run_and_cohorts(spark, capsys):
+    from adlens.__main__ import main
+    assert main(["run", "q05_conversion_mix", "--data", "/root/testdata/sf0.001", "--show", "5"]) == 0
+    assert "conversion_type" in capsys.readouterr().out
+    assert main(["cohorts", "campaign-device", "--data", "/root/testdata/sf0.001",
+                 "--start", "2024-01-01", "--end", "2024-01-28", "--show", "3"]) == 0
+    assert "lift_0_to_7" in capsys.readouterr().out
