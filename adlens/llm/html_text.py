@@ -204,9 +204,13 @@ def blocks(html: str | None) -> list[Block]:
     return [b for b in out if "head" not in b.tags]
 
 
+_SECTIONS = MAIN_TAGS | OTHER_TAGS | {"header"}
+
+
 def container(b: Block) -> list[str]:
     """Features of where a block stands."""
-    return [f"tag={b.tag}", *(f"in={t}" for t in b.tags), *(f"class={w}" for w in b.words)]
+    home = next((t for t in reversed(b.tags) if t in _SECTIONS), "")
+    return [f"tag={b.tag}", f"home={home}", *(f"in={t}" for t in b.tags), *(f"class={w}" for w in b.words)]
 
 
 def look(b: Block, k: int, n: int, longest: int) -> list[str]:

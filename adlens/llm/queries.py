@@ -115,8 +115,8 @@ ok AS (SELECT vec_id, e FROM v WHERE e IS NOT NULL AND len(e) > 0 AND len(list_f
        AND len(list_filter(e, x -> x <> 0)) > 0),
 links AS (SELECT a.vec_id AS a, b.vec_id AS b FROM ok a JOIN ok b ON a.vec_id <> b.vec_id AND len(a.e) = len(b.e)
           WHERE list_cosine_similarity(a.e, b.e) >= 0.9),
-reach(node, at) AS (SELECT vec_id, vec_id FROM ok UNION SELECT node, links.b FROM reach JOIN links ON links.a = at),
-comp AS (SELECT node, min(at) AS c FROM reach GROUP BY node),
+reach(node, seen) AS (SELECT vec_id, vec_id FROM ok UNION SELECT node, links.b FROM reach JOIN links ON links.a = seen),
+comp AS (SELECT node, min(seen) AS c FROM reach GROUP BY node),
 deg AS (SELECT a, count(*) AS n FROM links GROUP BY a)
 SELECT vec_id, coalesce(n, 0)::BIGINT AS n_links, coalesce(c, vec_id) AS component_id, coalesce(c, vec_id) = vec_id AS kept
 FROM v LEFT JOIN deg ON deg.a = vec_id LEFT JOIN comp ON comp.node = vec_id
@@ -131,8 +131,8 @@ n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
 shared AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS k FROM s a JOIN s b ON a.g = b.g AND a.doc_id <> b.doc_id
            GROUP BY a.doc_id, b.doc_id),
 links AS (SELECT a, b FROM shared JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * k >= 85 * (x.n + y.n - k)),
-reach(node, at) AS (SELECT doc_id, doc_id FROM d UNION SELECT node, links.b FROM reach JOIN links ON links.a = at),
-comp AS (SELECT node, min(at) AS c FROM reach GROUP BY node)
+reach(node, seen) AS (SELECT doc_id, doc_id FROM d UNION SELECT node, links.b FROM reach JOIN links ON links.a = seen),
+comp AS (SELECT node, min(seen) AS c FROM reach GROUP BY node)
 SELECT d.doc_id, coalesce(n, 0)::BIGINT AS n_shingles, c AS component_id
 FROM d LEFT JOIN n USING (doc_id) JOIN comp ON node = d.doc_id
 """
