@@ -110,9 +110,9 @@ FROM d LEFT JOIN words USING (doc_id) LEFT JOIN items USING (doc_id)
 """
 
 _OP2 = """
-WITH RECURSIVE v AS (SELECT vec_id, list_transform(embedding, x -> x::DOUBLE) AS e FROM embeddings),
-ok AS (SELECT vec_id, e FROM v WHERE e IS NOT NULL AND len(e) > 0 AND len(list_filter(e, x -> x IS NULL OR NOT isfinite(x))) = 0
-       AND len(list_filter(e, x -> x <> 0)) > 0),
+WITH RECURSIVE v AS (SELECT vec_id, [x::DOUBLE FOR x IN embedding] AS e FROM embeddings),
+ok AS (SELECT vec_id, e FROM v WHERE e IS NOT NULL AND len(e) > 0 AND len([x FOR x IN e IF x IS NULL OR NOT isfinite(x)]) = 0
+       AND len([x FOR x IN e IF x <> 0]) > 0),
 links AS (SELECT a.vec_id AS a, b.vec_id AS b FROM ok a JOIN ok b ON a.vec_id <> b.vec_id AND len(a.e) = len(b.e)
           WHERE list_cosine_similarity(a.e, b.e) >= 0.9),
 reach(node, seen) AS (SELECT vec_id, vec_id FROM ok UNION SELECT node, links.b FROM reach JOIN links ON links.a = seen),
