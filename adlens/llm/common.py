@@ -8,7 +8,7 @@ returns a DataFrame. A result column replaces an input column of the same name
 from __future__ import annotations
 
 import uuid
-from collections.abc import Iterable
+from collections.abc import Iterable, Iterator
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -62,6 +62,15 @@ def with_struct(df: DataFrame, result: Column, fields: list[str]) -> DataFrame:
             .select(*keep, *[F.col(f"{tmp}.{f}").alias(f) for f in fields]))
 
 
+def slices(batches: Iterator, rows: int = 500) -> Iterator:
+    """Arrow batches (arrays, tuples of arrays or record batches) in smaller
+    slices, so Python holds few rows' objects at a time."""
+    for batch in batches:
+        n = len(batch[0]) if isinstance(batch, tuple) else len(batch)
+        for k in range(0, n, rows):
+            yield tuple(a.slice(k, rows) for a in batch) if isinstance(batch, tuple) else batch.slice(k, rows)
+
+
 def fold(doc_id: str) -> Column:
     """crc32 of the id as text, mod 5; fold 0 is held out. NULL ids are held out."""
     crc = F.crc32(F.col(quoted(doc_id)).cast("string").cast("binary"))

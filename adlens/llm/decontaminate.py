@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from adlens.llm.automaton import SuffixAutomaton
-from adlens.llm.common import quoted, with_struct, without, word_list
+from adlens.llm.common import quoted, slices, with_struct, without, word_list
 
 WINDOW = 13
 COVERAGE = 0.05          # contaminated: 20 * n_hit >= n_words
@@ -116,7 +116,7 @@ def _scan_udf(items: list[tuple[str | None, str | None]], window: int, spark):
     @F.arrow_udf(_RESULT)
     def scan(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         index = ItemIndex(shared.value, window)
-        for texts in batches:
+        for texts in slices(batches):
             out = []
             for text in texts.to_pylist():
                 words = word_list(text)
@@ -177,7 +177,7 @@ def cut_words(text: str, hits: list[int]) -> str:
 
 @F.arrow_udf(T.StringType())
 def _cut(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
-    for texts, hits in batches:
+    for texts, hits in slices(batches):
         yield pa.array([t if t is None or not h else cut_words(t, h)
                         for t, h in zip(texts.to_pylist(), hits.to_pylist(), strict=True)], type=pa.string())
 

@@ -39,7 +39,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from adlens.llm.common import quoted, share, with_struct
+from adlens.llm.common import quoted, share, slices, with_struct
 
 TRAIN_PAGES = 120
 TRAIN_CHARS = 40_000     # longer pages are left out of the training sample
@@ -438,7 +438,7 @@ def extract(pages: DataFrame, model: Field | None, html: str = "html") -> DataFr
 
     @F.arrow_udf(_RESULT)
     def read(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        for part in batches:
+        for part in slices(batches):
             texts = [main_text(h, shared.value) for h in part.to_pylist()]
             yield pa.StructArray.from_arrays([pa.array(texts, type=pa.string()),
                                               pa.array([len(t) for t in texts], type=pa.int64())], names=_RESULT.names)

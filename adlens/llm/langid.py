@@ -38,7 +38,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from adlens.llm.automaton import SuffixAutomaton
-from adlens.llm.common import fold, quoted, share, with_struct
+from adlens.llm.common import fold, quoted, share, slices, with_struct
 
 UNKNOWN = "und"
 TRAIN_DOCS = 60
@@ -46,7 +46,7 @@ TRAIN_SLICE = 2_000
 TRAIN_CHARS = 30_000
 ALPHABET = 120
 SEGMENT = 512
-BATCH_CHARS = 6 << 20
+BATCH_CHARS = 4 << 20
 
 _RESULT = T.StructType([T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())])
 _CODES = 0x110000
@@ -181,7 +181,7 @@ def identify(docs: DataFrame, texts: dict[str, list[str]], text: str = "text") -
         if key not in _BUILT:
             _BUILT.clear()  # one model at a time per worker
             _BUILT[key] = LanguageModel(shared.value)
-        for part in batches:
+        for part in slices(batches, 2_000):
             langs, scores = _BUILT[key].predict(part.to_pylist())
             yield pa.StructArray.from_arrays([pa.array(langs, type=pa.string()), pa.array(scores)], names=_RESULT.names)
 

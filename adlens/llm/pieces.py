@@ -42,11 +42,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from adlens.llm.common import quoted, with_struct
+from adlens.llm.common import quoted, slices, with_struct
 from adlens.llm.token_ids import id_lists
 
 MARK = "\u2581"
-CACHE_SEGMENTS = 600_000
+CACHE_SEGMENTS = 400_000
 SEGMENT_CHARS = 64       # longer segments are not remembered
 _UNKNOWN_PENALTY = 10.0
 
@@ -255,7 +255,7 @@ def encode(docs: DataFrame, model: str, text: str = "text") -> DataFrame:
     @F.arrow_udf(kind)
     def code(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         m = loaded(model)
-        for texts in batches:
+        for texts in slices(batches):
             rows = [m.encode(t) for t in texts.to_pylist()]
             n = pa.array([len(r) // 4 for r in rows], type=pa.int64())
             yield pa.StructArray.from_arrays([id_lists(rows), n], names=kind.names)
@@ -268,7 +268,7 @@ def decode(ids, model: str):
     @F.arrow_udf(T.StringType())
     def text(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         m = loaded(model)
-        for lists in batches:
+        for lists in slices(batches, 100):
             yield pa.array([None if x is None else m.decode(x) for x in lists.to_pylist()], type=pa.string())
 
     return text(ids)

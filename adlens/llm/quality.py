@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from adlens.llm.boosting import Isotonic, Trees, fit_isotonic, fit_trees, sigmoid
-from adlens.llm.common import fold, quoted, share, with_struct
+from adlens.llm.common import fold, quoted, share, slices, with_struct
 
 TRAIN_ROWS = 12_000
 POOL_ROWS = 8_000
@@ -200,7 +200,7 @@ def score(docs: DataFrame, model: QualityModel, text: str = "text", source: str
     @F.arrow_udf(_RESULT)
     def rate(batches: Iterator[tuple[pa.Array, ...]]) -> Iterator[pa.Array]:
         m = shared.value
-        for texts, sources, langs, sizes in batches:
+        for texts, sources, langs, sizes in slices(batches):
             xt = np.array([text_features(t) for t in texts.to_pylist()]).reshape(len(texts), len(TEXT_FEATURES))
             xm = np.array([meta_features(*v) for v in zip(sources.to_pylist(), langs.to_pylist(), sizes.to_pylist(),
                                                           strict=True)]).reshape(len(texts), 2 * BUCKETS + 2)

@@ -37,9 +37,9 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from adlens.llm.common import quoted, scratch
+from adlens.llm.common import quoted, scratch, slices
 
-CACHE_PIECES = 600_000   # pieces remembered per worker
+CACHE_PIECES = 400_000   # pieces remembered per worker
 END_ID = 0
 
 # Parquet layout of the token files.
@@ -203,7 +203,7 @@ def _encode_udf(path: str, end_id: int):
     @F.arrow_udf(_ENCODED)
     def encode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         model, end, at = _loaded(path), np.uint32(end_id).tobytes(), 0
-        for texts in batches:
+        for texts in slices(batches):
             rows = [r + end for part in _chunks([t or "" for t in texts.to_pylist()]) for r in model.encode(part)]
             n = np.array([len(r) // 4 for r in rows], dtype=np.int64)
             offset = at + np.concatenate(([0], np.cumsum(n)))
@@ -241,7 +241,7 @@ def read_token_ids(spark: SparkSession, path: str) -> DataFrame:
 @F.arrow_udf(T.LongType())
 def ids_crc32(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
     """Unsigned crc32 of the ids as little-endian unsigned 32-bit integers."""
-    for lists in batches:
+    for lists in slices(batches):
         if lists.null_count:
             lists = lists.fill_null([])
         ends = lists.offsets.to_numpy()

@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from adlens.llm.boosting import Isotonic, Trees, fit_isotonic, fit_trees
-from adlens.llm.common import quoted, share, with_struct, word_list
+from adlens.llm.common import quoted, share, slices, with_struct, word_list
 
 TRAIN_ROWS = 20_000
 LEXICON_WORDS = 1_000
@@ -177,7 +177,7 @@ def score(docs: DataFrame, model: ToxicityModel, text: str = "text") -> DataFram
     @F.arrow_udf(_RESULT)
     def rate(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         m = shared.value
-        for texts in batches:
+        for texts in slices(batches):
             s = m.score(texts.to_pylist())
             yield pa.StructArray.from_arrays([pa.array(s), pa.array((s >= 0.5).astype(np.int32))], names=_RESULT.names)
 
