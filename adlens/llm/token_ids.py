@@ -39,7 +39,7 @@ from pyspark.sql import types as T
 
 from adlens.llm.common import quoted, scratch, slices
 
-CACHE_PIECES = 400_000   # pieces remembered per worker
+CACHE_PIECES = 500_000   # pieces remembered per worker
 END_ID = 0
 
 # Parquet layout of the token files.
@@ -221,7 +221,7 @@ def write_token_ids(docs: DataFrame, tokenizer: str, out: str, doc_id: str = "do
     # The text's hash orders rows of one id; it also splits an id with many rows.
     tie = F.xxhash64("text")
     ordered = (rows.withColumn("_tie", tie).repartitionByRange("doc_id", "_tie")
-               .sortWithinPartitions("doc_id", "_tie", "text"))
+               .sortWithinPartitions("doc_id", "_tie"))
     coded = ordered.select("doc_id", F.spark_partition_id().alias("part"),
                            _encode_udf(tokenizer, end_id)(F.col("text")).alias("e"))
     coded.select("doc_id", "part", "e.offset", "e.n_tokens", "e.ids").write.options(**LAYOUT).parquet(out)
