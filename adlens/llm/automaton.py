@@ -68,16 +68,20 @@ class SuffixAutomaton:
 
     def jump_table(self, symbols: int) -> np.ndarray:
         """For cross-parsing over symbols 0..symbols-1: entry [state, c] is
-        ``2 * row offset of the next state + 1 if a phrase ended before c``. Where ``c`` cannot
-        extend the match, the phrase ends and the parse restarts at the root
-        with ``c`` (an unseen symbol leaves it at the root)."""
+        ``2 * row offset of the next state + 1 if a phrase ended before c``.
+
+        Where ``c`` cannot extend the match, the phrase ends and the parse
+        restarts at the root with ``c``. A symbol that occurs nowhere leads to
+        one extra state, from which every symbol ends a phrase: it is a phrase
+        of its own. At the root (a segment's start) no phrase ends."""
         n = len(self.length)
-        go = np.zeros((n, symbols), dtype=np.int64)
+        go = np.zeros((n + 1, symbols), dtype=np.int64)
         for s, edges in enumerate(self.next):
             for c, to in edges.items():
                 go[s, c] = to
         dead = go == 0
-        restart = np.where(dead, go[0][None, :], go)
-        out = restart * symbols * 2 + dead
+        dead[0] = False
+        restart = np.where(go[0] == 0, n, go[0])
+        out = np.where(go == 0, restart[None, :], go) * symbols * 2 + dead
         assert out.max(initial=0) < 2**31
         return out.astype(np.int32).ravel()

@@ -101,7 +101,7 @@ class Gap:
 
 
 _VERSION = re.compile(rb"WARC/\d+\.\d+\r\n")
-_START = re.compile(rb"(?:(?<=\n)|\A)WARC/\d+\.\d+\r\n|\x1f\x8b\x08")
+_START = re.compile(rb"WARC/\d+\.\d+\r\n|\x1f\x8b\x08")
 
 
 class Broken(ValueError):
