@@ -10,7 +10,7 @@ Sub-packages:
 * ``functions`` - column expressions: exact ratios, lift, date helpers
 * ``operators`` - DataFrame -> DataFrame building blocks and user-facing reports
 * ``plans``     - the named-query catalog and plan-inspection helpers
-* ``streaming`` - micro-batch entry point for the cost-feed upsert
+* ``streaming`` - how a stream of cost feeds uses the batch upsert
 """
 
 from adlens.session import get_spark, checkpoint_root

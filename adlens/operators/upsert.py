@@ -24,7 +24,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from adlens.sources.schema import COSTS_DAILY, MONEY_DDL as MONEY
+from adlens.sources.schema import COSTS_DAILY, MONEY_SUM_DDL as MONEY
 
 KEY = ["cost_date", "campaign_id"]
 

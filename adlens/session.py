@@ -27,14 +27,17 @@ DEFAULT_CONF = {
 }
 
 
-def get_spark(master: str | None = None, shuffle_partitions: int | None = 8,
+MAX_SHUFFLE_PARTITIONS = 16_384
+
+
+def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
               app_name: str = "adlens", extra: dict | None = None) -> SparkSession:
     """Get or create a session with the library defaults (tests, bench, CLI).
 
     ``master`` is left to spark-submit / spark-defaults unless given (the
     launcher falls back to local mode when nothing names one).
-    ``shuffle_partitions=None`` keeps the configured value (use that on a
-    cluster, see :func:`cluster_conf`).
+    ``shuffle_partitions=None`` keeps the configured value; tests and the bench
+    pass their own (see :func:`cluster_conf` for a cluster).
     """
     builder = SparkSession.builder.appName(app_name)
     if master:
@@ -82,12 +85,14 @@ def checkpoint_root(spark: SparkSession) -> str:
 def cluster_conf(input_bytes: int, target_partition_bytes: int = 256 << 20) -> dict[str, str]:
     """Suggested settings for a run over ``input_bytes`` of model tables.
 
-    Shuffle partitions (also the slice count of the hot-key-safe sequence)
-    are sized so a partition holds about ``target_partition_bytes``; AQE then
-    merges small ones and splits skewed joins. Pass the result to the session
+    Shuffle partitions (also the slice count of the hot-key-safe sequence) hold
+    about ``target_partition_bytes`` each, but there are at most
+    ``MAX_SHUFFLE_PARTITIONS``: maps times reduces is block metadata in the
+    driver, and most shuffles carry aggregated rows far smaller than the input.
+    AQE merges small ones and splits skewed joins. Pass the result to the session
     builder; ``spark.checkpoint.dir`` must name a shared folder.
     """
-    parts = max(8, -(-input_bytes // target_partition_bytes))
+    parts = min(MAX_SHUFFLE_PARTITIONS, max(8, -(-input_bytes // target_partition_bytes)))
     return {
         "spark.sql.shuffle.partitions": str(parts),
         "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),

@@ -28,6 +28,8 @@ from adlens.sources.testdata import derive_model
 # Bump when the mapping in ``testdata`` changes: stored tables of an older
 # mapping are then ignored.
 MODEL_VERSION = "6"
+# Driver tables that the model is derived from.
+INPUT_TABLES = ("events", "nation", "region", "customer")
 MODEL_TABLES = ("campaigns", "users", "clicks", "sessions", "conversions", "costs_daily", "cost_feed")
 _SCHEMAS = dict(S.TABLES, cost_feed=S.COST_FEED)
 # Upper bound on rows per written file (a few GB of narrow rows): large slices
@@ -63,7 +65,7 @@ class Model:
             self.table(name).createOrReplaceTempView(prefix + name)
 
 
-_CACHE: dict[tuple[str, str], Model] = {}
+_CACHE: dict[tuple, Model] = {}
 
 
 def conform(df: DataFrame, table: str) -> DataFrame:
@@ -84,9 +86,26 @@ def _code_fingerprint() -> str:
     return h.hexdigest()[:12]
 
 
-def _model_key(sf_dir: str) -> str:
+def input_stamp(spark: SparkSession, sf_dir: str) -> str:
+    """Path, length and modification time of every input file, by the file
+    system that holds them: a replaced or rewritten input has another stamp."""
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    seen = []
+    for name in INPUT_TABLES:
+        path = jvm.org.apache.hadoop.fs.Path(f"{sf_dir}/{name}.parquet")
+        fs = path.getFileSystem(conf)
+        if not fs.exists(path):
+            continue
+        files = fs.listFiles(path, True)
+        while files.hasNext():
+            f = files.next()
+            seen.append(f"{f.getPath()}|{f.getLen()}|{f.getModificationTime()}")
+    return hashlib.sha1("\n".join(sorted(seen)).encode()).hexdigest()[:16]
+
+
+def _model_key(sf_dir: str, stamp: str) -> str:
     where = os.path.abspath(sf_dir) if "://" not in sf_dir else sf_dir.rstrip("/")
-    raw = f"{where}|v{MODEL_VERSION}|{_code_fingerprint()}"
+    raw = f"{where}|{stamp}|v{MODEL_VERSION}|{_code_fingerprint()}"
     return hashlib.sha1(raw.encode()).hexdigest()[:16]
 
 
@@ -123,14 +142,15 @@ def build_model(spark: SparkSession, sf_dir: str, partitions: int | None = None)
 
 
 def load_model(spark: SparkSession, sf_dir: str, store: bool = True) -> Model:
-    key = (spark.sparkContext.applicationId, sf_dir)
+    stamp = input_stamp(spark, sf_dir)
+    key = (spark.sparkContext.applicationId, sf_dir, stamp, store)
     if key in _CACHE:
         return _CACHE[key]
     if not store:
         model = build_model(spark, sf_dir)
         _CACHE[key] = model
         return model
-    base = f"{checkpoint_root(spark)}/adlens_model/{_model_key(sf_dir)}"
+    base = f"{checkpoint_root(spark)}/adlens_model/{_model_key(sf_dir, stamp)}"
     location = _find_complete(spark, base)
     reused = location is not None
     if location is None:

@@ -65,14 +65,14 @@ CONVERSIONS = T.StructType([
 COSTS_DAILY = T.StructType([
     T.StructField("cost_date", T.DateType(), False),
     T.StructField("campaign_id", T.IntegerType(), False),
-    T.StructField("cost", MONEY, False),
+    T.StructField("cost", MONEY_SUM, False),  # a day's sum outgrows a single click's type
 ])
 
 # Input of the batch upsert: every field may be missing, bad rows are rejected.
 COST_FEED = T.StructType([
     T.StructField("cost_date", T.DateType(), True),
     T.StructField("campaign_id", T.IntegerType(), True),
-    T.StructField("cost", MONEY, True),
+    T.StructField("cost", MONEY_SUM, True),
 ])
 
 TABLES = {

@@ -39,6 +39,7 @@ from pyspark.sql import functions as F
 
 from adlens.operators.sequence import running_sums
 from adlens.sources.schema import MONEY_DDL as MONEY
+from adlens.sources.schema import MONEY_SUM_DDL as MONEY_SUM
 
 # Fixed values of the mapping.
 N_CAMPAIGN_SLOTS = 24            # camp = k % 24
@@ -182,7 +183,7 @@ def sessions_and_conversions(ev: DataFrame, partitions: int | None = None) -> tu
 
 def _daily_click_cost(clk: DataFrame) -> DataFrame:
     return clk.groupBy(F.col("click_datetime").cast("date").alias("cost_date"), "campaign_id").agg(
-        F.sum(F.coalesce(F.col("cost"), F.lit(0).cast(MONEY))).cast(MONEY).alias("cost"))
+        F.sum(F.coalesce(F.col("cost"), F.lit(0).cast(MONEY))).cast(MONEY_SUM).alias("cost"))
 
 
 def costs_daily(clk: DataFrame) -> DataFrame:
@@ -193,7 +194,7 @@ def costs_daily(clk: DataFrame) -> DataFrame:
 def cost_feed(clk: DataFrame, ev: DataFrame) -> DataFrame:
     """Upsert input: corrected costs for every day plus invalid rows."""
     good = _daily_click_cost(clk).select(
-        "cost_date", "campaign_id", (F.col("cost") + F.lit(1)).cast(MONEY).alias("cost"))
+        "cost_date", "campaign_id", (F.col("cost") + F.lit(1)).cast(MONEY_SUM).alias("cost"))
     err = ev.filter((F.col("event_type") == "error") & (F.col("k") >= 95))
     day = F.col("ts").cast("date")
     camp = F.col("camp").cast("int")
@@ -201,8 +202,8 @@ def cost_feed(clk: DataFrame, ev: DataFrame) -> DataFrame:
         F.when(F.col("k") == 96, F.lit(None).cast("date")).otherwise(day).alias("cost_date"),
         F.when(F.col("k") == 97, F.lit(UNKNOWN_CAMPAIGN))
          .when(F.col("k") == 99, F.lit(None).cast("int")).otherwise(camp).alias("campaign_id"),
-        F.when(F.col("k").isin(95, 99), F.lit(None).cast(MONEY))
-         .when(F.col("k") == 98, (-F.col("v")).cast(MONEY)).otherwise(F.col("v")).alias("cost"),
+        F.when(F.col("k").isin(95, 99), F.lit(None).cast(MONEY_SUM))
+         .when(F.col("k") == 98, -F.col("v")).otherwise(F.col("v")).cast(MONEY_SUM).alias("cost"),
     )
     return good.unionByName(bad)
 

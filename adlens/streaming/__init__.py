@@ -1,6 +1,3 @@
-"""Streaming entry points.
-
-The warehouse has no streaming constructs; its one ingestion path, the daily
-cost upsert, is offered here as a micro-batch query over arriving feed files
-(:mod:`adlens.streaming.cost_feed`). Everything else is batch.
-"""
+"""Structured Streaming entry points: none. The analytics are batch; arriving
+cost feeds go through :func:`adlens.operators.upsert.upsert_costs_daily` batch
+by batch (for example from ``foreachBatch``) into the caller's table format."""

@@ -19,7 +19,7 @@ def main() -> None:
     sf = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.1"
     out = os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(__file__))), "docs", "plans")
     os.makedirs(out, exist_ok=True)
-    spark = get_spark(master="local[8]")
+    spark = get_spark(master="local[8]", shuffle_partitions=8)
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     for name in bench.HEADLINE:
         text = plan_text(catalog()[name](spark, sf))
