@@ -16,7 +16,7 @@ pass reads each document once, row by row, without a shuffle. The broadcast
 lexicon has at most ``LEXICON_WORDS`` words.
 
 Defined results: NULL and empty texts are scored from their (zero) features;
-with no labels the score is the prior 0.5 of nothing known and predicted 0;
+with no labels every score is 0 and nothing is predicted toxic;
 contradicting repeated labels all count; labels without a document are ignored.
 """
 
