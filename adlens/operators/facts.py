@@ -36,16 +36,25 @@ def conversions_per_session(conversions: DataFrame) -> DataFrame:
     )
 
 
+def _time_then_id(ts: str, id_: str) -> Column:
+    """A number that orders like (time, id): microseconds since 1970, then the id."""
+    t = F.col(ts)
+    micros = (F.unix_date(day_of(t)).cast("long") * 86_400 + F.hour(t) * 3_600 + F.minute(t) * 60).cast("decimal(18,0)") \
+        * 1_000_000 + (F.date_part(F.lit("SECOND"), t) * 1_000_000).cast("decimal(8,0)")
+    # ids lie within +-2^63, less than half of the step
+    return (micros.cast("decimal(18,0)") * F.lit("20000000000000000000").cast("decimal(20,0)") + F.col(id_).cast("decimal(19,0)")) \
+        .cast("decimal(38,0)")
+
+
 def first_sessions(sessions: DataFrame) -> DataFrame:
     """session_id of every user's first session ever (earliest time, then
-    lowest id). A per-user MIN aggregates map-side, so a user with millions of
-    sessions costs one partial row per task, unlike a per-user window. (MIN
-    of a struct plans as a sort-based aggregate: map tasks sort locally and
-    still shuffle only their partial rows.)"""
+    lowest id). A per-user MIN_BY aggregates map-side, so a user with millions of
+    sessions costs one partial row per task, unlike a per-user window. Time and
+    id are one DECIMAL, which keeps the aggregate hash-based (a struct would sort the
+    raw rows in each map task)."""
     first = sessions.groupBy("user_id").agg(
-        F.min(F.struct("session_datetime", "session_id")).alias("_first"))
-    return first.select(F.col("_first.session_id").alias("session_id"),
-                        F.lit(1).alias("is_new_user_session"))
+        F.min_by("session_id", _time_then_id("session_datetime", "session_id")).alias("session_id"))
+    return first.select("session_id", F.lit(1).alias("is_new_user_session"))
 
 
 def session_facts(sessions: DataFrame, conversions: DataFrame, new_flag: bool = False,

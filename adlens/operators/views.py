@@ -17,10 +17,12 @@ the cohort rollups; (e) a zero denominator gives NULL.
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from adlens.functions.dates import check_range, day_of, in_range
+from adlens.functions.dates import as_date, check_range, day_of, in_range
 from adlens.functions.ratios import cohort_ratio, ratio, zero_if_null
 from adlens.operators.facts import daily_clicks, money_total, session_facts
 from adlens.operators.sequence import sequence_number
@@ -92,24 +94,29 @@ def campaign_day_kpis(clicks: DataFrame, sessions: DataFrame, conversions: DataF
     )
 
 
-def cohort_sessions(clicks: DataFrame, sessions: DataFrame, conversions: DataFrame) -> DataFrame:
+def cohort_sessions(clicks: DataFrame, sessions: DataFrame, conversions: DataFrame,
+                    cohort_start=None, cohort_end=None) -> DataFrame:
     """One row per click-linked session: campaign_id (the click's),
     cohort_date (the click's day), device, session_id and 0/1 flags
     ``converted_D0/D7/D30``."""
     linked = sessions.filter(F.col("click_id").isNotNull()).select("session_id", "click_id", "device")
     clk = clicks.select("click_id", "campaign_id", day_of("click_datetime").alias("cohort_date"))
     sess = linked.join(clk, "click_id", "inner")
-    # Only the conversion *days* of a session matter: reducing to distinct
-    # (session, day) map-side bounds what one session can bring to the join
-    # by the calendar, however many conversions it has.
-    conv = conversions.select("session_id", day_of("conversion_datetime").alias("conversion_date")).distinct()
-    lag = F.datediff(F.col("conversion_date"), F.col("cohort_date"))
-    flags = [F.max(F.coalesce(lag.between(0, n), F.lit(False)).cast("int")).alias(f"converted_D{n}")
-             for n in COHORT_WINDOWS]
-    # Grouping by session_id (plus columns it determines) reuses the join's
-    # partitioning on session_id: no extra shuffle.
-    return sess.join(conv, "session_id", "left").groupBy(
-        "session_id", "campaign_id", "cohort_date", "device").agg(*flags)
+    # Only the conversion *days* of a session matter: its set of days is built
+    # map-side and bounded by the calendar, however many conversions it has. One
+    # exchange on session_id serves the aggregate and the join.
+    conv = conversions.select("session_id", day_of("conversion_datetime").alias("conversion_date"))
+    if cohort_start is not None:  # no other day can count for these cohorts
+        conv = conv.filter(in_range("conversion_date", as_date(cohort_start),
+                                    as_date(cohort_end) + dt.timedelta(days=max(COHORT_WINDOWS))))
+    days = conv.groupBy("session_id").agg(F.collect_set("conversion_date").alias("_days"))
+
+    def converted(n: int):
+        within = F.exists("_days", lambda d: F.datediff(d, F.col("cohort_date")).between(0, n))
+        return F.coalesce(within, F.lit(False)).cast("int").alias(f"converted_D{n}")
+
+    return sess.join(days, "session_id", "left").select(
+        "session_id", "campaign_id", "cohort_date", "device", *[converted(n) for n in COHORT_WINDOWS])
 
 
 def _cohort_measures(df: DataFrame, keys: list[str]) -> DataFrame:
@@ -142,7 +149,7 @@ def click_cohort(clicks: DataFrame, sessions: DataFrame, conversions: DataFrame,
     sessions, sessions_converted_D0/D7/D30, CVR_D0/D7/D30; optionally only
     the cohort days in ``[cohort_start, cohort_end]``."""
     clicks = _clicks_in(clicks, cohort_start, cohort_end)
-    per_session = cohort_sessions(clicks, sessions, conversions)
+    per_session = cohort_sessions(clicks, sessions, conversions, cohort_start, cohort_end)
     measured = _cohort_measures(per_session, ["campaign_id", "cohort_date"])
     cohorts = clicks.select("campaign_id", day_of("click_datetime").alias("cohort_date")).distinct()
     j = cohorts.join(measured, ["campaign_id", "cohort_date"], "left")
@@ -156,6 +163,6 @@ def click_cohort_device(clicks: DataFrame, sessions: DataFrame, conversions: Dat
                         cohort_start=None, cohort_end=None) -> DataFrame:
     """campaign_id x cohort_date x device; sessions only (no orphan clicks)."""
     clicks = _clicks_in(clicks, cohort_start, cohort_end)
-    per_session = cohort_sessions(clicks, sessions, conversions)
+    per_session = cohort_sessions(clicks, sessions, conversions, cohort_start, cohort_end)
     measured = _cohort_measures(per_session, ["campaign_id", "cohort_date", "device"])
     return _with_rates(measured)

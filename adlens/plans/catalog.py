@@ -10,7 +10,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from adlens.functions.dates import activity_calendar, day_of, in_range
@@ -18,6 +18,7 @@ from adlens.functions.ratios import ratio, ratio_or_0
 from adlens.operators import audits, cohorts, facts, insights, reports, upsert, views
 from adlens.operators.keys import surrogate_keys
 from adlens.operators.topk import top_n
+from adlens.sources import schema as S
 from adlens.sources.loaders import normalise_label, with_defaults
 from adlens.sources.model import Model, load_model
 
@@ -237,6 +238,64 @@ def _a_dirty(m):
         audits.audit_pk(t), audits.audit_fk(t), audits.audit_check(t), audits.audit_not_null(t)])
 
 
+def _spoiled(df: DataFrame, id_, nulls: list[str], changes: dict[str, tuple[int, object]]) -> DataFrame:
+    """``df`` with violations, dealt by the remainder r of ``id_`` and 11: the
+    i-th column of ``nulls`` is NULL where r = i, rows with r = 5 occur
+    twice, and a column of ``changes`` takes its value where r is the number given."""
+    rows = df.withColumn("_r", F.pmod(id_, F.lit(11)))
+    rows = rows.unionByName(rows.filter("_r = 5"))
+    out = []
+    for f in df.schema.fields:
+        c = F.col(f.name)
+        if f.name in nulls:
+            c = F.when(F.col("_r") != nulls.index(f.name), c)
+        if f.name in changes:
+            at, value = changes[f.name]
+            value = value if isinstance(value, Column) else F.lit(value)
+            c = F.when(F.col("_r") == at, value.cast(f.dataType.simpleString())).otherwise(c)
+        out.append(c.alias(f.name))
+    return rows.select(*out)
+
+
+def _dirty_tables(m: Model) -> dict[str, DataFrame]:
+    """The model's tables with violations of every constraint."""
+    changes = {
+        "campaigns": {},
+        "users": {"registration_date": (6, F.date_sub("first_seen_date", 1))},
+        "clicks": {"campaign_id": (6, -1)},
+        "sessions": {"user_id": (6, -1), "campaign_id": (7, -1), "click_id": (8, -1)},
+        "conversions": {"session_id": (6, -1), "conversion_type": (7, "Refund"), "revenue": (8, -1)},
+        "costs_daily": {"campaign_id": (6, -1), "cost": (7, -1)},
+    }
+    ids = {name: F.col(S.PRIMARY_KEYS[name][0]) for name in changes}
+    ids["costs_daily"] = F.dayofmonth("cost_date") + F.col("campaign_id")
+    return {name: _spoiled(m.table(name), ids[name], S.not_null_columns(name), changes[name]) for name in changes}
+
+
+@query("audit_pk_dirty")
+def _a1_dirty(m):
+    """A1 over tables with repeated and missing keys."""
+    return audits.audit_pk(_dirty_tables(m))
+
+
+@query("audit_fk_dirty")
+def _a2_dirty(m):
+    """A2 over tables with references to absent rows."""
+    return audits.audit_fk(_dirty_tables(m))
+
+
+@query("audit_check_dirty")
+def _a3_dirty(m):
+    """A3 over tables with values outside their checks."""
+    return audits.audit_check(_dirty_tables(m))
+
+
+@query("audit_not_null_dirty")
+def _a4_dirty(m):
+    """A4 over tables with a NULL in every NOT NULL column."""
+    return audits.audit_not_null(_dirty_tables(m))
+
+
 @query("recon_orphan_clicks")
 def _recon1(m):
     return audits.orphan_clicks(m.clicks, m.sessions)
@@ -452,11 +511,9 @@ def _g3(m):
 @query("agg_distinct_conditional")
 def _g4(m):
     """G4 - per session day: distinct sessions and distinct converted sessions."""
-    j = m.sessions.select("session_id", day_of("session_datetime").alias("session_date")).join(
-        m.conversions.select("session_id", "conversion_id"), "session_id", "left")
-    return j.groupBy("session_date").agg(
-        F.countDistinct("session_id").alias("sessions"),
-        F.countDistinct(F.when(F.col("conversion_id").isNotNull(), F.col("session_id"))).alias("converted_sessions"))
+    per = facts.session_facts(m.sessions.select("session_id", "session_datetime"), m.conversions)
+    return per.groupBy("session_date").agg(
+        F.count("session_id").alias("sessions"), F.sum("converted").alias("converted_sessions"))
 
 
 @query("first_conversion_per_session")

@@ -4,7 +4,8 @@ import datetime as dt
 from decimal import Decimal as Dec
 
 from adlens.operators import audits
-from tests.conftest import make_model
+from adlens.plans.catalog import catalog
+from tests.conftest import SF_SMALL, make_model
 
 T = dt.datetime.fromisoformat
 D = dt.date.fromisoformat
@@ -43,3 +44,9 @@ def test_injected_violations_are_counted(spark):
     assert nn[("sessions", "nn_device")] == 1 and sum(nn.values()) == 1
     bad = audits.fk_violations(t["conversions"], "session_id", t["sessions"], "session_id").collect()
     assert [r.conversion_id for r in bad] == [1001]
+
+
+def test_dirty_tables_violate_every_constraint(spark):
+    rows = [r for name in ("pk", "fk", "check", "not_null")
+            for r in catalog()[f"audit_{name}_dirty"](spark, SF_SMALL).collect()]
+    assert len(rows) == 38 and [r for r in rows if r.violations == 0] == []

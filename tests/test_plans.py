@@ -43,7 +43,11 @@ def test_scan_reads_only_needed_columns(spark):
 def test_new_flag_uses_aggregate_not_user_window(spark):
     # The first-session flag is a per-user MIN (partial aggregation), not a window over users.
     ops = operators(catalog()["q06_new_vs_returning"](spark, SF_SMALL))
-    assert "Window" not in ops
+    assert "Window" not in ops and "SortAggregate" not in ops
+
+
+def test_conditional_distinct_has_no_expand(spark):
+    assert "Expand" not in operators(catalog()["agg_distinct_conditional"](spark, SF_SMALL))
 
 
 def test_top_k_is_take_ordered(spark):
@@ -59,3 +63,9 @@ def test_cohort_range_reaches_every_click_scan(spark, name):
     assert blocks
     for b in blocks:
         assert "GreaterThanOrEqual(click_datetime" in b and "LessThan(click_datetime" in b
+
+
+@pytest.mark.parametrize("name", ["c01_cohort_lift", "c02_cohort_campaign", "c03_cohort_campaign_device"])
+def test_cohort_range_reaches_the_conversions_scan(spark, name):
+    pf = " ".join(pushed_filters(catalog()[name](spark, SF_SMALL)))
+    assert "GreaterThanOrEqual(conversion_datetime" in pf and "LessThan(conversion_datetime" in pf
