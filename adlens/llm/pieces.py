@@ -94,11 +94,20 @@ class PieceModel:
         #: every prefix of a piece -> its score, or None where it is no piece
         self.trie: dict[str, float | None] = {p[:k]: None for p in pieces for k in range(1, len(p))}
         self.trie.update((p, s) for p, (_, s) in pieces.items() if not bpe or self._merged(p) == [p])
+        #: pieces by their characters; a piece ends where "" leads to it
+        self.tree: dict = {}
+        for p in (p for p, score in self.trie.items() if score is not None):
+            node = self.tree
+            for c in p:
+                node = node.setdefault(c, {})
+            node[""] = p
         self.joined = {p[k:k + 2] for p in pieces for k in range(len(p) - 1)}
         self.forced = not any(MARK in p.lstrip(MARK) for p in pieces)
         self.words: dict[str, bytes] = {}     # ids of stretches after a mark, without it
         self.cache: dict[str, bytes] = {}     # ids of segments
-        self.fits: dict[tuple[str, str], bool] = {}
+        self.fits: dict[str, dict[str, bool]] = {}
+        self.n_fits = 0
+        self.code = {p: i.to_bytes(4, "little") for p, (i, _) in pieces.items()}
         self.raw = [b""] * (1 + max([i for i, _ in pieces.values()] + list(byte_ids)))
         for p, (i, _) in pieces.items():
             self.raw[i] = p.replace(MARK, " ").encode("utf-8")
@@ -107,28 +116,36 @@ class PieceModel:
 
     def _merged(self, s: str) -> list[str]:
         """What merging the best-scored neighbours leaves of a short text."""
-        parts = list(s)
+        parts, pieces = list(s), self.pieces
         while len(parts) > 1:
-            best = max(((self.pieces[a + b][1], -k) for k, (a, b) in enumerate(zip(parts, parts[1:], strict=False))
-                        if a + b in self.pieces), default=None)
-            if best is None:
+            best = at = None
+            for k in range(len(parts) - 1):
+                hit = pieces.get(parts[k] + parts[k + 1])
+                if hit is not None and (best is None or hit[1] > best):
+                    best, at = hit[1], k
+            if at is None:
                 break
-            k = -best[1]
-            parts[k:k + 2] = [parts[k] + parts[k + 1]]
+            parts[at:at + 2] = [parts[at] + parts[at + 1]]
         return parts
 
     def _fit(self, a: str, b: str) -> bool:
         """Whether the merges leave ``a`` and ``b`` of their joined text."""
-        got = self.fits.get((a, b))
+        known = self.fits.get(a)
+        if known is None:
+            known = self.fits[a] = {}
+        got = known.get(b)
         if got is None:
-            if len(self.fits) >= CACHE_SEGMENTS:
+            if self.n_fits >= CACHE_SEGMENTS:
                 self.fits.clear()
-            got = self.fits[a, b] = a[-1] + b[0] not in self.joined or self._merged(a + b) == [a, b]
+                self.n_fits = 0
+            self.n_fits += 1
+            got = known[b] = a[-1] + b[0] not in self.joined or self._merged(a + b) == [a, b]
         return got
 
-    def _piece_ids(self, piece: str) -> list[int]:
-        hit = self.pieces.get(piece)
-        return [hit[0]] if hit else [self.byte_ids[b] for b in piece.encode("utf-8")]
+    def _coded(self, pieces: list[str]) -> bytes:
+        code = self.code
+        return b"".join([code[p] if p in code else b"".join([self.byte_ids[b].to_bytes(4, "little") for b in p.encode("utf-8")])
+                         for p in pieces])
 
     def viterbi(self, s: str) -> Iterator[list[str]]:
         """Pieces of ``s``, committed in batches as the surviving paths converge."""
@@ -184,23 +201,61 @@ class PieceModel:
             end = start
         return out[::-1]
 
+    def _within(self, s: str) -> list[str]:
+        """The pass of a BPE model over a text that its window holds whole: the
+        last piece of each boundary's path is kept instead of its start."""
+        tree, n, fits, alone = self.tree, len(s), self.fits, {}
+        last: list[str | None] = [None] * (n + 1)
+        last[0] = ""
+        for i in range(n):
+            before = last[i]
+            if before is None:
+                continue
+            known = fits.get(before) or alone
+            j, node = i, tree
+            for c in s[i:]:
+                node = node.get(c)
+                j += 1
+                if node is None or (j == i + 1 and "" not in node):
+                    # a character without a piece stands alone
+                    if j == i + 1 and last[j] is None and (not before or self._fit(before, c)):
+                        last[j] = c
+                    if node is None:
+                        break
+                elif last[j] is None and "" in node:
+                    piece = node[""]
+                    if before:
+                        fit = known.get(piece)
+                        if not (self._fit(before, piece) if fit is None else fit):
+                            continue
+                    last[j] = piece
+        out = []
+        while n:
+            out.append(last[n])
+            n -= len(last[n])
+        return out[::-1]
+
     def _segment(self, s: str) -> bytes:
-        return np.array([x for part in self.viterbi(s) for p in part for x in self._piece_ids(p)], dtype="<i4").tobytes()
+        if not self.bpe or len(s) > 8 * self.longest:
+            return b"".join([self._coded(part) for part in self.viterbi(s)])
+        # a piece that the merges build is the only path into its end
+        return self.code[s] if self.trie.get(s) is not None else self._coded(self._within(s))
 
     def _cut(self, s: str) -> bytes:
         """Ids of a stretch, cut where no piece joins two characters."""
-        joined, cache, out, at = self.joined, self.cache, [], 0
-        for k in range(1, len(s) + 1):
-            if k == len(s) or s[k - 1:k + 1] not in joined:
-                part, at = s[at:k], k
-                got = cache.get(part)
-                if got is None:
-                    # a piece that the merges build is the only path into its end
-                    whole = self.bpe and self.trie.get(part) is not None
-                    got = np.int32(self.pieces[part][0]).tobytes() if whole else self._segment(part)
-                    if len(part) <= SEGMENT_CHARS and len(cache) < CACHE_SEGMENTS:
-                        cache[part] = got
-                out.append(got)
+        joined, cache = self.joined, self.cache
+        cuts = [k for k in range(1, len(s)) if s[k - 1:k + 1] not in joined]
+        if not cuts:
+            return self._segment(s)
+        out = []
+        for a, b in zip([0, *cuts], [*cuts, len(s)], strict=True):
+            part = s[a:b]
+            got = cache.get(part)
+            if got is None:
+                got = self._segment(part)
+                if len(part) <= SEGMENT_CHARS and len(cache) < CACHE_SEGMENTS:
+                    cache[part] = got
+            out.append(got)
         return b"".join(out)
 
     def encode(self, text: str | None) -> bytes:
@@ -220,12 +275,14 @@ class PieceModel:
             words = [w[1:] for w in _opened(MARK + text.replace(" ", MARK))]
         out = list(map(self.words.get, words))
         if None in out:
-            for k, (w, got) in enumerate(zip(words, out, strict=True)):
+            for k in [k for k, got in enumerate(out) if got is None]:
+                w = words[k]
+                got = self.words.get(w)
                 if got is None:
-                    got = self.words.get(w) or self._cut(MARK + w)
+                    got = self._cut(MARK + w)
                     if len(w) < SEGMENT_CHARS and len(self.words) < CACHE_SEGMENTS:
                         self.words[w] = got
-                    out[k] = got
+                out[k] = got
         return b"".join(out)
 
     def decode(self, ids) -> str:
@@ -269,7 +326,11 @@ def decode(ids, model: str):
     def text(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         m = loaded(model)
         for lists in slices(batches, 100):
-            yield pa.array([None if x is None else m.decode(x) for x in lists.to_pylist()], type=pa.string())
+            flat, at, out = lists.flatten().to_numpy(zero_copy_only=False).tolist(), 0, []
+            for n in lists.value_lengths().to_pylist():
+                out.append(None if n is None else m.decode(flat[at:at + n]))
+                at += n or 0
+            yield pa.array(out, type=pa.string())
 
     return text(ids)
 
