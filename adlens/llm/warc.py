@@ -2,14 +2,15 @@
 
 ``write_warc`` writes a WARC/1.1 record per page: an HTTP response whose
 payload is the page's HTML, or, for a payload that an earlier page (smaller id) has, a
-``revisit`` that refers to it. ``read_warc`` reads archives back, plain or
-with a gzip member per record. A record is good if its length, its terminator
+``revisit`` that refers to it. Archives are plain, or (``members``) have a gzip
+member per record, each followed by an empty member, as Spark's text writer
+needs a separator. ``read_warc`` reads both kinds back. A record is good if its length, its terminator
 and its digest hold. After a failed check the reader searches for the next place where a
 member or a version line begins and a good record follows, goes on there, and
 reports the bytes passed over as a gap.
 
 Scale: digests are grouped after a partial aggregation; the html is shuffled
-once, by digest and salt (``SALTS`` parts a digest), so a payload that a third
+once, as its response record (compressed before if ``members``), by digest and salt (``SALTS`` parts a digest), so a payload that a third
 of all pages share is spread. Files are written by Spark; the reader takes a
 file at a time, whose size the writer bounds (``FILE_BYTES``, at least one record).
 
@@ -30,14 +31,16 @@ from dataclasses import dataclass
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from adlens.llm.common import quoted, scratch
+from adlens.llm.common import quoted, scratch, slices
 
 MIN_REVISIT = 100
 SALTS = 32
 FILE_BYTES = 64 << 20
 _END = b"\r\n\r\n"
 _URN = "urn:page:"
+_SAME = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 _HTTP = "HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: "
 
 
@@ -45,9 +48,43 @@ def _header(name: str, value: Column) -> Column:
     return F.when(value.isNull(), F.lit("")).otherwise(F.concat(F.lit(name + ": "), value, F.lit("\r\n")))
 
 
+def _urn(page: Column) -> Column:
+    return F.concat(F.lit(f"<{_URN}"), F.coalesce(page.cast("string"), F.lit("")), F.lit(">"))
+
+
+def _record_text(kind: str, date: str, first: Column | None, body: Column | None) -> Column:
+    """A record, but for its closing blank lines, from the columns id, url, bytes and digest."""
+    block = F.concat(F.lit(_HTTP), F.col("bytes").cast("string"), F.lit("\r\n\r\n"),
+                     body if body is not None else F.lit(""))
+    about = [] if first is None else [_header("WARC-Profile", F.lit(_SAME)), _header("WARC-Refers-To", _urn(first))]
+    return F.concat(
+        F.lit("WARC/1.1\r\n"), _header("WARC-Type", F.lit(kind)), _header("WARC-Record-ID", _urn(F.col("id"))),
+        _header("WARC-Date", F.lit(date)),
+        _header("WARC-Target-URI", F.regexp_replace("url", r"[\x00-\x20\x7F]", "%20")),
+        _header("WARC-Payload-Digest", F.concat(F.lit("sha256:"), F.col("digest"))),
+        _header("WARC-Payload-Length", F.col("bytes").cast("string")), *about,
+        _header("Content-Type", F.lit("application/http; msgtype=response")),
+        _header("Content-Length", F.octet_length(block).cast("string")), F.lit("\r\n"), block)
+
+
+def _member_of(record: bytes) -> bytes:
+    deflate = zlib.compressobj(6, zlib.DEFLATED, 31)
+    return deflate.compress(record) + deflate.flush()
+
+
+_EMPTY = _member_of(b"")
+
+
+@F.arrow_udf(T.BinaryType())
+def _member(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+    for records in slices(batches, 200):
+        yield pa.array([None if r is None else _member_of(r + _END) for r in records.to_pylist()], type=pa.binary())
+
+
 def page_records(pages: DataFrame, page_id: str = "page_id", url: str = "url", html: str = "html",
-                 date: str = "1970-01-01T00:00:00Z") -> DataFrame:
-    """(record): the text of each page's record without its closing blank lines."""
+                 date: str = "1970-01-01T00:00:00Z", members: bool = False) -> DataFrame:
+    """(record): the bytes of each page's record; plain ones without their closing blank lines."""
+    coded = _member if members else (lambda c: c)
     rows = pages.select(F.col(quoted(page_id)).cast("long").alias("id"), F.col(quoted(url)).cast("string").alias("url"),
                         F.coalesce(F.col(quoted(html)), F.lit("")).alias("html"))
     rows = rows.withColumn("bytes", F.octet_length("html").cast("long")) \
@@ -55,33 +92,25 @@ def page_records(pages: DataFrame, page_id: str = "page_id", url: str = "url", h
     shared = rows.filter(F.col("bytes") >= MIN_REVISIT).groupBy("digest") \
         .agg(F.min("id").alias("first"), F.count("*").alias("n")).filter("n > 1 AND first IS NOT NULL")
     salted = shared.select("digest", "first", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"))
-    rows = rows.withColumn("salt", F.pmod(F.xxhash64("id", "url"), F.lit(SALTS)).cast("int")) \
-        .join(salted, ["digest", "salt"], "left")
+    # the html goes into its record before the shuffle, which carries members compressed
+    full = rows.select("id", "url", "bytes", "digest",
+                       F.pmod(F.xxhash64("id", "url"), F.lit(SALTS)).cast("int").alias("salt"),
+                       coded(_record_text("response", date, None, F.col("html")).cast("binary")).alias("response"))
+    joined = full.join(salted, ["digest", "salt"], "left")
     again = F.col("first").isNotNull() & ~F.col("first").eqNullSafe(F.col("id"))
-    block = F.concat(F.lit(_HTTP), F.col("bytes").cast("string"), F.lit("\r\n\r\n"),
-                     F.when(again, F.lit("")).otherwise(F.col("html")))
-    urn = F.concat(F.lit(f"<{_URN}"), F.coalesce(F.col("id").cast("string"), F.lit("")), F.lit(">"))
-    head = F.concat(
-        F.lit("WARC/1.1\r\n"),
-        _header("WARC-Type", F.when(again, F.lit("revisit")).otherwise(F.lit("response"))),
-        _header("WARC-Record-ID", urn), _header("WARC-Date", F.lit(date)),
-        _header("WARC-Target-URI", F.regexp_replace("url", r"[\x00-\x20\x7F]", "%20")),
-        _header("WARC-Payload-Digest", F.concat(F.lit("sha256:"), F.col("digest"))),
-        _header("WARC-Payload-Length", F.col("bytes").cast("string")),
-        _header("WARC-Profile", F.when(again, F.lit("http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"))),
-        _header("WARC-Refers-To", F.when(again, F.concat(F.lit(f"<{_URN}"), F.col("first").cast("string"), F.lit(">")))),
-        _header("Content-Type", F.lit("application/http; msgtype=response")),
-        _header("Content-Length", F.col("block_bytes").cast("string")), F.lit("\r\n"))
-    return rows.withColumn("block", block).withColumn("block_bytes", F.octet_length("block")) \
-        .select(F.concat(head, F.col("block")).alias("record"))
+    revisit = F.when(again, _record_text("revisit", date, F.col("first"), None).cast("binary"))
+    return joined.withColumn("revisit", coded(revisit)) \
+        .select(F.coalesce("revisit", "response").alias("record"))
 
 
 def write_warc(pages: DataFrame, out: str, page_id: str = "page_id", url: str = "url", html: str = "html",
-               file_bytes: int = FILE_BYTES) -> None:
-    """Write the pages' records as archive files to the folder ``out``."""
+               file_bytes: int = FILE_BYTES, members: bool = False) -> None:
+    """Write the pages' records as archive files to the folder ``out``, plain or as gzip members."""
     size = pages.agg(F.avg(F.octet_length(quoted(html))).alias("b")).first()["b"] or 0
-    # the records' blank lines are the text writer's line separator
-    (page_records(pages, page_id, url, html).write.option("lineSep", "\r\n\r\n")
+    records = page_records(pages, page_id, url, html, members=members)
+    # The text writer passes on a string's bytes as they are, and a separator in the encoding named.
+    (records.select(F.col("record").cast("string").alias("value"))
+     .write.option("encoding", "ISO-8859-1").option("lineSep", (_EMPTY if members else _END).decode("latin-1"))
      .option("maxRecordsPerFile", max(1, int(file_bytes // (size + 600)))).text(out))
 
 
@@ -104,6 +133,9 @@ _VERSION = re.compile(rb"WARC/\d+\.\d+\r\n")
 _START = re.compile(rb"WARC/\d+\.\d+\r\n|\x1f\x8b\x08")
 
 
+_STEP = 16 << 10  # bytes inflated at a time
+
+
 class Broken(ValueError):
     pass
 
@@ -151,20 +183,37 @@ def _plain(data: bytes, at: int) -> Record:
     return Record(at, stop + 4 - at, headers, payload)
 
 
-def _record(data: bytes, at: int) -> Record:
-    if data[at:at + 2] != b"\x1f\x8b":
-        return _plain(data, at)
-    member = zlib.decompressobj(wbits=31)
+def _inflated(data: bytes, at: int) -> tuple[bytes, int]:
+    """The content of the member at ``at``, and where the member ends."""
+    member, out, view = zlib.decompressobj(wbits=31), [], memoryview(data)
+    stop = at
     try:
-        inner = member.decompress(data[at:])
+        while not member.eof:
+            part = view[stop:stop + _STEP]
+            if not part:
+                raise Broken("member without end")
+            out.append(member.decompress(part))
+            stop += len(part)
     except zlib.error as e:
         raise Broken("member does not inflate") from e
-    if not member.eof:
-        raise Broken("member without end")
-    found = _plain(inner, 0)
-    if found.length != len(inner):
-        raise Broken("member holds more than a record")
-    return Record(at, len(data) - at - len(member.unused_data), found.headers, found.payload)
+    return b"".join(out), stop - len(member.unused_data)
+
+
+def _record(data: bytes, at: int) -> Record | None:
+    """The record at ``at``, plain or a gzip member; None at the end. Empty members are passed over."""
+    begin = at
+    while data.startswith(b"\x1f\x8b", at):
+        inner, stop = _inflated(data, at)
+        if inner:
+            found = _plain(inner, 0)
+            if found.length != len(inner):
+                raise Broken("member holds more than a record")
+            return Record(begin, stop - begin, found.headers, found.payload)
+        at = stop
+        if at == len(data):
+            return None
+    found = _plain(data, at)
+    return Record(begin, found.offset + found.length - begin, found.headers, found.payload)
 
 
 def salvage(data: bytes) -> Iterator[Record | Gap]:
@@ -183,8 +232,8 @@ def salvage(data: bytes) -> Iterator[Record | Gap]:
                     continue
             at = len(data) if found is None else found.offset
             yield Gap(gap, at - gap, reason)
-            if found is None:
-                return
+        if found is None:
+            return
         yield found
         at = found.offset + found.length
 
@@ -238,7 +287,7 @@ def archive_report(pages: DataFrame, page_id: str = "page_id", url: str = "url",
                    out: str | None = None) -> DataFrame:
     """Write the pages to archives, read them back: a row per page's record."""
     out = out or scratch(pages.sparkSession, "warc")
-    write_warc(pages, out, page_id, url, html)
+    write_warc(pages, out, page_id, url, html, members=True)
     back = read_warc(pages.sparkSession, out, payload=False).filter("gap IS NULL")
 
     def number(name: str) -> Column:

@@ -355,6 +355,26 @@ def test_warc_salvage_recovers_later_records(spark, tmp_path):
     assert sum(r["gap"] is None for r in read) == 4 and all(r["payload"] for r in read if r["gap"] is None)
 
 
+def test_warc_members_written_are_read_and_salvaged(spark, tmp_path):
+    rows = [(k, "u", None if k == 5 else f"<p>é page {k % 4} " + "text " * 30) for k in range(7)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string").coalesce(1)
+    files = {}
+    for members in (False, True):
+        out = tmp_path / str(members)
+        warc.write_warc(pages, str(out), members=members)
+        files[members] = next(p for p in out.iterdir() if p.name.startswith("part-")).read_bytes()
+    # inflated, the members are the plain archive
+    assert gzip.decompress(files[True]) == files[False]
+    data = files[True]
+    records = list(warc.salvage(data))
+    assert [r.payload for r in records] == [r.payload for r in warc.salvage(files[False])] and len(records) == 7
+    bad = bytearray(data)
+    bad[records[2].offset + records[2].length // 2] ^= 255
+    parts = list(warc.salvage(bytes(bad) + b"tail"))
+    assert [r.payload for r in parts if isinstance(r, warc.Record)] == [r.payload for k, r in enumerate(records) if k != 2]
+    assert sum(isinstance(x, warc.Gap) for x in parts) == 2
+
+
 # --- 9 ---------------------------------------------------------------------
 
 def test_piece_ids_equal_the_library_and_round_trip(spark, edge):
