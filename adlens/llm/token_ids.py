@@ -8,10 +8,11 @@ with a filter on ``doc_id`` touch only the pages it needs; a reader of
 ``doc_id``/``n_tokens`` alone never opens the ids.
 
 A byte-level pre-tokenizer never joins the text before a single space with
-what follows it (given non-space characters on both sides), so a text is cut
-there and the library's ids per piece are remembered in a bounded cache. Any
-other kind of tokenizer, and any text that holds a special token, goes to the
-library whole. The ids equal a plain ``encode`` call's in every case.
+what follows it (given non-space characters on both sides), nor a letter with a
+punctuation mark, nor a line's end with its neighbours, so texts are cut there, each different piece of a batch is coded once, and the library's ids are
+remembered in a bounded cache. Any other kind of tokenizer, and any text that
+holds a special token, goes to the library whole. The ids equal a plain
+``encode`` call's in every case.
 
 Scale: one range shuffle of the texts by id; the encode and the write stream
 through it. Ids are never grouped or collected; positions come from one total
@@ -32,7 +33,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import regex
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -65,28 +66,23 @@ _FILE = T.StructType([
 _ENCODED = T.StructType([_FILE["offset"], _FILE["n_tokens"], _FILE["ids"]])
 
 _CUT = re.compile(r"(?<=\S)(?= \S)")
-_MARKS = ".,;:!?*&%$#|-()\""  # each is neither letter, digit nor space
-# Fixed value: the pre-token pattern of byte-level BPE vocabularies.
-_PRE_TOKEN = regex.compile(
-    r"'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
-
-
-def _pre_tokens(piece: str) -> list[str]:
-    """The pattern's matches; one space, letters and a tail of marks need no pattern."""
-    if piece[:1] == " ":
-        word = piece[1:].rstrip(_MARKS)
-        if word.isalpha():
-            n = len(word) + 1
-            return [piece] if n == len(piece) else [piece[:n], piece[n:]]
-    return _PRE_TOKEN.findall(piece)
+# A space beside other white space or at an end, or white space at the end: not every space is a cut.
+_WHITE = r"[\s\x0B\x1C-\x1F\x{85}\p{Z}]"
+_ODD = rf"(?:^|{_WHITE}) | (?:{_WHITE}|$)|{_WHITE}$"
+# Further cuts, of letters known to every Unicode version: before marks that are neither letter, digit nor
+# space, and around a line's end. A piece that begins with _BARE has no space before it.
+_BARE = "\0"
+_LETTER = r"[A-Za-z\x{C0}-\x{D6}\x{D8}-\x{F6}\x{F8}-\x{1BA}\x{410}-\x{44F}]"
+_MORE = [(rf"({_LETTER})([.,;:!?*&%$#|\-()\"])", rf"\1 {_BARE}\2"),
+         (rf"([A-Za-z.,;:!?*&%$#])\n({_LETTER})", f"\\1 {_BARE}\n {_BARE}\\2")]
 
 
 class PieceCache:
-    """Ids (little-endian uint32 bytes) of texts, piece by piece.
+    """The library's ids of texts, piece by piece.
 
-    Two bounded caches: pieces between single spaces, and the pre-tokens that
-    a new piece falls into. A full cache keeps what it has (the frequent head
-    comes early) and codes the rest anew.
+    The cache holds pieces between single spaces as little-endian uint32 bytes.
+    A full cache keeps what it has (the frequent head comes early) and codes
+    the rest anew.
     """
 
     def __init__(self, path: str) -> None:
@@ -103,73 +99,74 @@ class PieceCache:
         vocab = self.tok.get_vocab()
         self.opens = np.zeros(max(vocab.values(), default=0) + 1, dtype=bool)  # tokens that begin with a space
         self.opens[[i for t, i in vocab.items() if t.startswith("\u0120")]] = True
-        self.rest: dict[str, bytes] = {}      # pieces after a space, without it
-        self.tokens: dict[str, bytes] = {}    # pre-tokens
+        self.known: dict[str, bytes] = {}  # pieces after a space, without it
 
     def library(self, texts: list[str]) -> list[bytes]:
         return [np.asarray(e.ids, dtype="<u4").tobytes()
-                for e in self.tok.encode_batch(texts, add_special_tokens=False)]
-
-    def words(self, words: list[str]) -> list[bytes]:
-        """Ids of pre-tokens of one space and letters, many to a call: side by
-        side they stay apart, and each begins with a token that has the space."""
-        out: list[bytes] = []
-        for k in range(0, len(words), 2000):
-            part = words[k:k + 2000]
-            ids = np.frombuffer(self.library(["".join(part)])[0], dtype="<u4")
-            starts = np.flatnonzero(self.opens[ids])
+                for e in self.tok.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def code(self, pieces: list[str]) -> dict[str, bytes]:
+        """Ids of new pieces, each with the space before it, if it has one. Pieces without other
+        spaces go side by side, many to a call: they stay apart, and only the
+        first token of each begins with a space."""
+        plain = [p for p in pieces if " " not in p and p[:1] != _BARE and not p[-1:].isspace()]
+        out: dict[str, bytes] = {}
+        for k in range(0, len(plain), 2000):
+            part = plain[k:k + 2000]
+            raw = self.library([" " + " ".join(part)])[0]
+            starts = np.flatnonzero(self.opens[np.frombuffer(raw, dtype="<u4")])
             if len(starts) == len(part) and starts[0] == 0:
-                out += [x.tobytes() for x in np.split(ids, starts[1:])]
-            else:  # some token is a bare space: code them one by one
-                out += self.library(part)
+                at = [*(4 * starts).tolist(), len(raw)]
+                out.update(zip(part, [raw[a:b] for a, b in zip(at, at[1:], strict=False)], strict=True))
+        left = [p for p in pieces if p not in out]
+        out.update(zip(left, self.library([p[1:] if p[:1] == _BARE else " " + p for p in left]), strict=True))
         return out
 
-    def code(self, pieces: list[str]) -> dict[str, bytes]:
-        """Ids of new pieces, by their pre-tokens."""
-        cut = [_pre_tokens(p) for p in pieces]
-        new = dict.fromkeys(t for ts in cut for t in ts if t not in self.tokens)
-        plain = [t for t in new if t[0] == " " and t[1:].isalpha()]
-        other = [t for t in new if not (t[0] == " " and t[1:].isalpha())]
-        got = dict(zip(plain, self.words(plain), strict=True)) | dict(zip(other, self.library(other), strict=True))
-        known = self.tokens
-        if len(known) + len(got) <= CACHE_PIECES:
-            known.update(got)
-            find = known.__getitem__
-        else:
-            find = lambda t: known[t] if t in known else got[t]
-        return {p: b"".join(map(find, ts)) for p, ts in zip(pieces, cut, strict=True)}
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        """One look-up for each piece; what is new to the batch is coded together."""
-        find, new, firsts, whole, rows = self.rest.get, {}, {}, {}, []
-        for text in texts:
-            if not self.cuts or any(s in text for s in self.special):
-                whole[text] = b""
-                rows.append((text, None, None))
-                continue
-            first, *ws = text.split(" ")
-            got = list(map(find, ws))
-            if ws and (None in got or not first or first[-1].isspace()):
-                lost = [w for w, g in zip(ws, got, strict=True) if g is None]
-                if not first or first[-1].isspace() or any(not w or w[0].isspace() or w[-1].isspace() for w in lost):
-                    # other white space beside a space: cut between non-space characters only
-                    first, *ws = _CUT.split(text)
-                    ws = [w[1:] for w in ws]
-                    got = list(map(find, ws))
-                    lost = [w for w, g in zip(ws, got, strict=True) if g is None]
-                new.update(dict.fromkeys(lost))
-            firsts[first] = b""
-            rows.append((first, ws, got))
-        whole.update(zip(whole, self.library(list(whole)), strict=True))
-        firsts = self.code(list(firsts))
-        coded = self.code([" " + w for w in new])
-        new = dict(zip(new, coded.values(), strict=True))
-        if len(self.rest) + len(new) <= CACHE_PIECES:
-            self.rest.update(new)
-        return [whole[first] if ws is None else
-                firsts[first] + b"".join([new[w] if g is None else g for w, g in zip(ws, got, strict=True)]
-                                         if None in got else got)
-                for first, ws, got in rows]
+    def cut(self, texts: pa.Array) -> pa.ListArray:
+        """The pieces of each text, the spaces at the cuts taken out; one piece at least."""
+        odd = pc.match_substring_regex(texts, _ODD)
+        whole = pa.array(np.full(len(texts), not self.cuts))
+        for mark in [_BARE, *self.special]:
+            whole = pc.or_(whole, pc.match_substring(texts, mark))
+        even = pc.invert(pc.or_(odd, whole))
+        plain = texts.filter(even)
+        for pattern, cut in _MORE:
+            plain = pc.replace_substring_regex(plain, pattern, cut)
+        parts = [pc.split_pattern(plain, " ")]
+        rest = pc.invert(even)
+        if pc.any(rest).as_py():
+            lists = []
+            for text, one in zip(texts.filter(rest).to_pylist(), whole.filter(rest).to_pylist(), strict=True):
+                first, *more = [text] if one else _CUT.split(text)
+                lists.append([first, *(p[1:] for p in more)])
+            parts.append(pa.array(lists, type=parts[0].type))
+        order = np.argsort(np.concatenate([np.flatnonzero(even.to_numpy(zero_copy_only=False)),
+                                           np.flatnonzero(rest.to_numpy(zero_copy_only=False))]))
+        return pa.concat_arrays(parts).take(pa.array(order))
+
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """All ids of a batch of texts (large strings, no nulls), and how many each text has."""
+        if not len(texts):
+            return np.empty(0, dtype="<i4"), np.empty(0, dtype=np.int64)
+        cut = self.cut(texts)
+        ends, flat = cut.offsets.to_numpy(), cut.values
+        heads = ends[:-1]
+        later = np.ones(len(flat), dtype=bool)
+        later[heads] = False
+        coded = flat.filter(pa.array(later)).dictionary_encode()
+        pieces = coded.dictionary.to_pylist()
+        got = list(map(self.known.get, pieces))
+        new = self.code([p for p, g in zip(pieces, got, strict=True) if g is None])
+        if new:
+            got = [new[p] if g is None else g for p, g in zip(pieces, got, strict=True)]
+            if len(self.known) + len(new) <= CACHE_PIECES:
+                self.known.update(new)
+        pool = id_lists(self.library(flat.take(pa.array(heads)).to_pylist()) + got)
+        at = np.empty(len(flat), dtype=np.int64)
+        at[heads] = np.arange(len(heads))
+        at[later] = len(heads) + coded.indices.to_numpy()
+        n = np.add.reduceat(np.diff(pool.offsets.to_numpy())[at], heads, dtype=np.int64)
+        return pool.take(pa.array(at)).flatten().to_numpy(), n
 
 
 _LOADED: dict[str, PieceCache] = {}
@@ -181,15 +178,14 @@ def _loaded(path: str) -> PieceCache:
     return _LOADED[path]
 
 
-def _chunks(texts: list[str], chars: int = 4 << 20) -> Iterator[list[str]]:
-    part, size = [], 0
-    for t in texts:
-        part.append(t)
-        size += len(t)
-        if size >= chars:
-            yield part
-            part, size = [], 0
-    yield part
+def _chunks(texts: pa.Array, size: int = 8 << 20) -> Iterator[pa.Array]:
+    """Runs of texts of about ``size`` bytes, one text at least."""
+    ends = np.cumsum(pc.binary_length(texts).to_numpy())
+    at = 0
+    while at < len(texts):
+        stop = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + size, side="right")))
+        yield texts.slice(at, stop - at)
+        at = stop
 
 
 def id_lists(rows: list[bytes]) -> pa.ListArray:
@@ -199,17 +195,26 @@ def id_lists(rows: list[bytes]) -> pa.ListArray:
     return pa.ListArray.from_arrays(pa.array(ends, type=pa.int32()), values)
 
 
+def _closed(ids: np.ndarray, n: np.ndarray, end_id: int) -> pa.ListArray:
+    """A list for each text: its ids and the end id."""
+    ends = np.cumsum(n)
+    values = np.insert(ids, ends, np.uint32(end_id).astype("<i4"))
+    return pa.ListArray.from_arrays(pa.array(np.concatenate(([0], ends + np.arange(1, len(n) + 1))), type=pa.int32()),
+                                    pa.array(values, type=pa.int32()))
+
+
 def _encode_udf(path: str, end_id: int):
     @F.arrow_udf(_ENCODED)
     def encode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        model, end, at = _loaded(path), np.uint32(end_id).tobytes(), 0
-        for texts in slices(batches):
-            rows = [r + end for part in _chunks([t or "" for t in texts.to_pylist()]) for r in model.encode(part)]
-            n = np.array([len(r) // 4 for r in rows], dtype=np.int64)
+        model, at = _loaded(path), 0
+        for batch in slices(batches, 2000):
+            lists = [_closed(*model.encode(part), end_id)
+                     for part in _chunks(batch.cast(pa.large_string()).fill_null(""))]
+            ids = pa.concat_arrays(lists) if lists else id_lists([])
+            n = np.diff(ids.offsets.to_numpy()).astype(np.int64)
             offset = at + np.concatenate(([0], np.cumsum(n)))
             at = int(offset[-1])
-            yield pa.StructArray.from_arrays(
-                [pa.array(offset[:-1]), pa.array(n), id_lists(rows)], names=_ENCODED.names)
+            yield pa.StructArray.from_arrays([pa.array(offset[:-1]), pa.array(n), ids], names=_ENCODED.names)
 
     return encode
 
