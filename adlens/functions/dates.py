@@ -32,6 +32,13 @@ def check_range(start, end, missing_code: int, order_code: int) -> tuple[dt.date
     return s, e
 
 
+def date_bounds(start, end, missing_code: int) -> tuple[dt.date, dt.date]:
+    """Both dates are needed; a reversed range is allowed and holds no day."""
+    if start is None or end is None:
+        raise ReportArgumentError(missing_code, "start_date and end_date are required")
+    return as_date(start), as_date(end)
+
+
 def in_range(col, start: dt.date, end: dt.date) -> Column:
     """Inclusive ``BETWEEN start AND end`` on a DATE column."""
     c = F.col(col) if isinstance(col, str) else col

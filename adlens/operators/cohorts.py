@@ -12,7 +12,8 @@ import datetime as dt
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from adlens.functions.dates import check_range, in_range
+from adlens.functions.dates import date_bounds, in_range
+from adlens.functions.labels import one_spelling
 from adlens.functions.ratios import cohort_lift, cohort_ratio, rate_difference
 
 DEFAULT_COHORT_RANGE = (dt.date(2024, 1, 1), dt.date(2024, 1, 28))
@@ -20,7 +21,7 @@ DEFAULT_COHORT_RANGE = (dt.date(2024, 1, 1), dt.date(2024, 1, 28))
 
 def cohort_day_lift(cohort: DataFrame, campaigns: DataFrame, cohort_start, cohort_end) -> DataFrame:
     """C1 - per (campaign, cohort day) converted sessions, rates and lifts."""
-    start, end = check_range(cohort_start, cohort_end, 50010, 50011)
+    start, end = date_bounds(cohort_start, cohort_end, 50010)
     v = cohort.filter(in_range("cohort_date", start, end))
     j = v.join(campaigns.select("campaign_id", "campaign_name"), "campaign_id", "inner")
     return j.select(
@@ -53,7 +54,7 @@ def _weighted(df: DataFrame) -> list:
 
 def cohort_campaign_rollup(cohort: DataFrame, campaigns: DataFrame, cohort_start, cohort_end) -> DataFrame:
     """C2 - weighted CVR and lift per campaign over the cohort days."""
-    start, end = check_range(cohort_start, cohort_end, 50010, 50011)
+    start, end = date_bounds(cohort_start, cohort_end, 50010)
     r = _rollup(cohort, ["campaign_id"], start, end)
     j = r.join(campaigns.select("campaign_id", "campaign_name"), "campaign_id", "inner")
     return j.select(
@@ -65,8 +66,10 @@ def cohort_campaign_rollup(cohort: DataFrame, campaigns: DataFrame, cohort_start
 def cohort_campaign_device_rollup(cohort_device: DataFrame, campaigns: DataFrame,
                                   cohort_start, cohort_end) -> DataFrame:
     """C3 - weighted CVR and lift per (campaign, device)."""
-    start, end = check_range(cohort_start, cohort_end, 50010, 50011)
+    start, end = date_bounds(cohort_start, cohort_end, 50010)
     r = _rollup(cohort_device, ["campaign_id", "device"], start, end)
+    r = one_spelling(r, ["campaign_id"], "device", [F.sum(c).alias(c) for c in (
+        "total_sessions", "conv_sessions_D0", "conv_sessions_D7", "conv_sessions_D30")])
     j = r.join(campaigns.select("campaign_id", "campaign_name"), "campaign_id", "inner")
     return j.select(
         "campaign_id", "campaign_name", "device", "total_sessions", "conv_sessions_D7", *_weighted(j),

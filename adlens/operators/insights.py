@@ -11,7 +11,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from adlens.functions.dates import check_range, day_of, in_range
+from adlens.functions.dates import date_bounds, day_of, in_range
+from adlens.functions.labels import one_spelling
 from adlens.functions.ratios import ratio, ratio_or_0, zero_if_null
 from adlens.operators.facts import (daily_clicks, first_sessions, money_sum, money_total,
                                     session_facts)
@@ -103,7 +104,7 @@ def new_vs_returning(sessions: DataFrame, start_date, end_date) -> DataFrame:
     """Q6 - daily new vs returning sessions in ``[start, end]``. "New" is the
     user's first session over the whole history, decided before the date
     filter (the first-session set is computed from the unfiltered table)."""
-    start, end = check_range(start_date, end_date, 50010, 50011)
+    start, end = date_bounds(start_date, end_date, 50010)
     firsts = first_sessions(sessions)
     in_range_s = sessions.filter(in_range(day_of("session_datetime"), start, end)).select(
         "session_id", day_of("session_datetime").alias("session_date"))
@@ -160,7 +161,8 @@ def _click_breakdown(campaigns: DataFrame, clicks: DataFrame, sessions: DataFram
     """Clicks (all of them) left-joined to their session's facts in one pass,
     grouped by the click's campaign and the session attribute; clicks without
     a session - and, for a nullable attribute, sessions without a value - fall
-    into the orphan bucket."""
+    into the orphan bucket. Spellings that differ in case or trailing blanks are
+    one value."""
     linked = sessions.filter(F.col("click_id").isNotNull()).select(
         "session_id", "click_id", attr, "session_datetime")
     facts = session_facts(linked, conversions)
@@ -175,6 +177,10 @@ def _click_breakdown(campaigns: DataFrame, clicks: DataFrame, sessions: DataFram
         money_total("revenue").alias("revenue"),
         money_total(F.coalesce(F.col("cost"), F.lit(0).cast("decimal(10,2)"))).alias("cost"),
     )
+    counts = ["clicks", "sessions", "conversions", "first_conversions"]
+    agg = one_spelling(agg, ["campaign_id"], attr, [*[F.sum(c).alias(c) for c in counts],
+                                                    money_total("revenue").alias("revenue"),
+                                                    money_total("cost").alias("cost")])
     j = agg.join(campaigns.select("campaign_id", "campaign_name"), "campaign_id", "inner")
     return j.select(
         "campaign_id", "campaign_name", attr, "clicks", "sessions",

@@ -22,7 +22,8 @@ import datetime as dt
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from adlens.functions.dates import as_date, check_range, day_of, in_range
+from adlens.functions.dates import as_date, date_bounds, day_of, in_range
+from adlens.functions.labels import one_spelling
 from adlens.functions.ratios import cohort_ratio, ratio, zero_if_null
 from adlens.operators.facts import daily_clicks, money_total, session_facts
 from adlens.operators.sequence import sequence_number
@@ -139,7 +140,7 @@ def _clicks_in(clicks: DataFrame, cohort_start, cohort_end) -> DataFrame:
     the cohort day into the session side of the cohort join by itself."""
     if cohort_start is None and cohort_end is None:
         return clicks
-    start, end = check_range(cohort_start, cohort_end, 50010, 50011)
+    start, end = date_bounds(cohort_start, cohort_end, 50010)
     return clicks.filter(in_range(day_of("click_datetime"), start, end))
 
 
@@ -161,8 +162,11 @@ def click_cohort(clicks: DataFrame, sessions: DataFrame, conversions: DataFrame,
 
 def click_cohort_device(clicks: DataFrame, sessions: DataFrame, conversions: DataFrame,
                         cohort_start=None, cohort_end=None) -> DataFrame:
-    """campaign_id x cohort_date x device; sessions only (no orphan clicks)."""
+    """campaign_id x cohort_date x device (spellings that differ in case or
+    trailing blanks are one); sessions only (no orphan clicks)."""
     clicks = _clicks_in(clicks, cohort_start, cohort_end)
     per_session = cohort_sessions(clicks, sessions, conversions, cohort_start, cohort_end)
     measured = _cohort_measures(per_session, ["campaign_id", "cohort_date", "device"])
-    return _with_rates(measured)
+    measures = ["sessions", *[f"sessions_converted_D{n}" for n in COHORT_WINDOWS]]
+    return _with_rates(one_spelling(measured, ["campaign_id", "cohort_date"], "device",
+                                    [F.sum(c).alias(c) for c in measures]))

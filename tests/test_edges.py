@@ -235,3 +235,31 @@ def test_write_upsert_never_overwrites(spark, m):
     assert spark.read.parquet(paths["audit"]).first().action_taken == "INSERT"
     with pytest.raises(AnalysisException):
         upsert.write_upsert(res, where)
+
+
+def test_label_spellings_are_one_group(spark):
+    day = lambda k: T(f"2024-03-1{k}T10:00:00")
+    c = make_model(spark, {
+        "campaigns": [(1, "A", "S", None)],
+        "clicks": [(i, 1, day(i), Dec("1.00")) for i in (1, 2, 3, 4)],
+        "sessions": [(1, 1, 1, 1, "Mobile", "/a", day(1)), (2, 2, 1, 2, "MOBILE", "/A ", day(2)),
+                     (3, 3, 1, 3, "mobile  ", " /a", day(3))],
+        "conversions": [(1, 2, T("2024-03-12T11:00:00"), "Lead", Dec("3.00"))],
+    })
+    dev = {r.device: r for r in insights.device_kpis(c.campaigns, c.clicks, c.sessions, c.conversions).collect()}
+    assert set(dev) == {"MOBILE", ORPHAN_LABEL}
+    r = dev["MOBILE"]
+    assert (r.clicks, r.sessions, r.conversions, r.revenue, r.cost, r.CVR) == (3, 3, 1, Dec("3.00"), Dec("3.00"), Dec("0.33"))
+    pages = insights.landing_page_kpis(c.campaigns, c.clicks, c.sessions, c.conversions).collect()
+    assert {r.landing_page: r.sessions for r in pages} == {"/A ": 2, " /a": 1, ORPHAN_LABEL: 0}   # leading blanks count
+    v4 = views.click_cohort_device(c.clicks, c.sessions, c.conversions)
+    assert v4.count() == 3   # one a day
+    roll = cohorts.cohort_campaign_device_rollup(v4, c.campaigns, "2024-03-01", "2024-03-31").collect()
+    assert [(r.device, r.total_sessions, r.conv_sessions_D7) for r in roll] == [("MOBILE", 3, 1)]
+
+
+def test_reversed_range_is_empty_where_the_original_has_no_check(m):
+    assert insights.new_vs_returning(m.sessions, "2024-03-31", "2024-03-01").count() == 0
+    v3 = views.click_cohort(m.clicks, m.sessions, m.conversions, "2024-03-31", "2024-03-01")
+    assert v3.count() == 0
+    assert cohorts.cohort_campaign_rollup(v3, m.campaigns, "2024-03-31", "2024-03-01").count() == 0
