@@ -17,7 +17,7 @@ n * L(n), L about n^0.25.
 Equal directions (bit for bit) are one class with a weight first. Vectors of different
 lengths never meet.
 
-Scale: one narrow shuffle of (list and signs, value, id) rows, streamed from
+Scale: one narrow shuffle of (list and signs, length, value, id) rows, streamed from
 sorted partitions; counts are summed in each task before they are shuffled;
 vectors travel only to pairs that pass. Near copies that all link each other
 are counted pair by pair, as each vector's number of links asks for (the README
@@ -96,20 +96,21 @@ def _project(k: int, lists: int):
                     planes[d] = np.random.default_rng(SEED + d).standard_normal((lists, d, k + 1))
                 for lst in range(lists):
                     y = x @ planes[d][lst]
-                    # list and vector length in the high bits, signs in the low ones
-                    place = (y[:, :k] > 0) @ weights + ((lst * 65_536 + d % 65_536) << 40)
+                    # list in the high bits (8 million fit), signs in the low ones
+                    place = (y[:, :k] > 0) @ weights + (lst << 40)
+                    size = pa.array(np.full(len(own), d, np.int32))
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(place), pa.array(y[:, k]), pa.array(ids[own])], names=["place", "value", "id"])
+                        [pa.array(place), size, pa.array(y[:, k]), pa.array(ids[own])], names=["place", "size", "value", "id"])
 
     return run
 
 
 def _window(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Collisions per pair in one partition, sorted by place and value. What is
-    left of a window at a batch's end goes on in the next."""
-    place, value, ids = np.empty(0, np.int64), np.empty(0), np.empty(0, np.int64)
+    """Collisions per pair in one partition, sorted by place, vector length and
+    value. What is left of a window at a batch's end goes on in the next."""
+    place, size, value, ids = np.empty(0, np.int64), np.empty(0, np.int32), np.empty(0), np.empty(0, np.int64)
     found: list[np.ndarray] = []
-    size = 0
+    pairs = 0
 
     def counted() -> pa.RecordBatch:
         a = np.concatenate(found, axis=1)
@@ -122,24 +123,26 @@ def _window(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         old = len(place)
         place = np.concatenate([place, batch.column(0).to_numpy()])
-        value = np.concatenate([value, batch.column(1).to_numpy()])
-        ids = np.concatenate([ids, batch.column(2).to_numpy()])
+        size = np.concatenate([size, batch.column(1).to_numpy()])
+        value = np.concatenate([value, batch.column(2).to_numpy()])
+        ids = np.concatenate([ids, batch.column(3).to_numpy()])
         left = np.arange(max(old, 1), len(place))   # the later row of each pair, new in this batch
         step = 1
         while len(left):
             left = left[left >= step]
-            left = left[(place[left] == place[left - step]) & (value[left] - value[left - step] <= WINDOW)]
+            left = left[(place[left] == place[left - step]) & (size[left] == size[left - step])
+                        & (value[left] - value[left - step] <= WINDOW)]
             if len(left):
                 x, y = ids[left], ids[left - step]
                 found.append(np.stack([np.minimum(x, y), np.maximum(x, y)]))
-                size += len(left)
-                if size >= 8 * _BATCH:
+                pairs += len(left)
+                if pairs >= 8 * _BATCH:
                     yield counted()
-                    found, size = [], 0
+                    found, pairs = [], 0
             step += 1
         if len(place):
-            keep = (place == place[-1]) & (value >= value[-1] - WINDOW)
-            place, value, ids = place[keep], value[keep], ids[keep]
+            keep = (place == place[-1]) & (size == size[-1]) & (value >= value[-1] - WINDOW)
+            place, size, value, ids = place[keep], size[keep], value[keep], ids[keep]
     if found:
         yield counted()
 
@@ -158,8 +161,8 @@ def near_vectors(vectors: DataFrame, cosine: float = 0.9, vec_id: str = "vec_id"
     units = stored(rows.filter("unit IS NOT NULL AND vec_id IS NOT NULL"), "units")
     firsts = stored(units.groupBy("unit").agg(F.min("vec_id").alias("rep"), F.count("*").alias("weight")), "directions")
     k, lists = calibrate(firsts.count(), cosine)
-    spread = firsts.select("rep", "unit").mapInArrow(_project(k, lists), "place long, value double, id long")
-    counts = (spread.repartition("place").sortWithinPartitions("place", "value", "id")
+    spread = firsts.select("rep", "unit").mapInArrow(_project(k, lists), "place long, size int, value double, id long")
+    counts = (spread.repartition("place", "size").sortWithinPartitions("place", "size", "value", "id")
               .mapInArrow(_window, "a long, b long, n long")
               .groupBy("a", "b").agg(F.sum("n").alias("n")).filter(F.col("n") >= COLLISIONS).filter("a <> b"))
     left = firsts.select(F.col("rep").alias("a"), F.col("unit").alias("ua"))

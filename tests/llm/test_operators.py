@@ -10,6 +10,7 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -150,6 +151,24 @@ def test_collision_threshold_reaches_its_recall():
     assert hits >= 0.98 * 300
 
 
+def test_vector_lists_beyond_128_and_lengths_keep_apart():
+    def projected(lists, rows):
+        units = pa.RecordBatch.from_arrays(
+            [pa.array(range(len(rows))), pa.array([np.array(x, "<f8").tobytes() for x in rows])], names=["rep", "unit"])
+        got = pa.Table.from_batches(list(vector_join._project(2, lists)(iter([units]))))
+        return got.sort_by([(c, "ascending") for c in got.column_names])
+
+    _, lists = vector_join.calibrate(10_000_000, 0.9)
+    assert lists > 128
+    got = projected(lists, [[0, 1, 0], [0, 1, 0], [0, 1]])   # a pair, and another length
+    places = {r["place"] for r in got.to_pylist() if r["id"] == 0}
+    assert len(places) == lists and max(places) >> 40 == lists - 1
+    counts = pa.Table.from_batches(list(vector_join._window(iter(got.combine_chunks().to_batches())))).to_pylist()
+    assert counts == [{"a": 0, "b": 1, "n": lists}]
+    # lengths 65,536 apart are different lengths
+    assert set(projected(2, [[1] * 3, [1] * 65_539])["size"].to_pylist()) == {3, 65_539}
+
+
 # --- 3 and 8 ---------------------------------------------------------------
 
 def test_toxicity_and_quality_on_held_out_rows(spark, edge):
