@@ -5,8 +5,9 @@ parsed against every language from left to right: take the longest match that
 occurs in the language's text, count one phrase, go on behind it. Text in the
 language needs few, long phrases. The count is normalised as
 ``phrases * log2(training length) / characters``, the cross-parsing estimate of
-bits per character, and the language with the fewest normalised phrases wins
-(ties: the smaller name).
+bits per character. Languages are compared under one training length, the
+longest: the fewest phrases win (ties: the smaller name), so a language with
+less training text can only cost more.
 
 Only letters count: a run of other characters is one space, upper case is
 lower case, and a letter that no training text has is a phrase of its own in
@@ -96,8 +97,8 @@ class LanguageModel:
         keep[:1] = True
         return codes[keep]
 
-    def rates(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """Normalised phrases [text, language], and the number of letters."""
+    def phrases(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Phrases [text, language], and each text's numbers of symbols and letters."""
         codes = [self.encode(t) for t in texts]
         n = np.array([len(c) for c in codes], dtype=np.int64)
         letters = np.array([int((c != 1).sum()) for c in codes], dtype=np.int64)
@@ -123,11 +124,16 @@ class LanguageModel:
                 to = go[state[a, :k] + symbol]
                 phrases[a, :k] += to & 1
                 state[a, :k] = to >> 1
-        for a, bits in enumerate(self.bits):
+        for a in range(len(self.langs)):
             # a segment's last phrase is open: the count of ended phrases plus one
-            ended = np.bincount(doc, weights=phrases[a] + 1, minlength=len(texts))
-            out[:, a] = ended * bits / np.maximum(n, 1)
-        return out, letters
+            out[:, a] = np.bincount(doc, weights=phrases[a] + 1, minlength=len(texts))
+        return out, n, letters
+
+    def rates(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Bits per character [text, language], each under its own training
+        length, and the number of letters."""
+        count, n, letters = self.phrases(texts)
+        return count * np.array(self.bits) / np.maximum(n, 1)[:, None], letters
 
     def predict(self, texts: list[str | None]) -> tuple[list[str], np.ndarray]:
         langs, scores = [UNKNOWN] * len(texts), np.zeros(len(texts))
@@ -139,13 +145,13 @@ class LanguageModel:
                 at.append(i)
                 size += len(t)
             if at and (size >= BATCH_CHARS or i == len(texts) - 1):
-                rates, letters = self.rates([texts[j] for j in at])
-                best = rates.argmin(axis=1)
-                second = np.partition(rates, 1, axis=1)[:, 1] if len(self.langs) > 1 else np.full(len(at), np.inf)
+                count, _, letters = self.phrases([texts[j] for j in at])
+                best = count.argmin(axis=1)
+                second = np.partition(count, 1, axis=1)[:, 1] if len(self.langs) > 1 else np.full(len(at), np.inf)
                 for k, j in enumerate(at):
                     if letters[k]:
                         langs[j] = self.langs[best[k]]
-                        scores[j] = 1 - rates[k, best[k]] / second[k]
+                        scores[j] = 1 - count[k, best[k]] / second[k]
                 at, size = [], 0
         return langs, scores
 

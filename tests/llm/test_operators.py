@@ -447,6 +447,15 @@ def test_language_phrases_and_held_out_accuracy(spark, edge):
     assert langid.identify(edge.limit(0), texts).count() == 0
 
 
+def test_a_tiny_training_text_does_not_win(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    texts = langid.training_texts(langid.train_fold(docs))
+    sample = [r["text"] for r in docs.filter("length(text) > 200").limit(60).collect()]
+    before = langid.LanguageModel(texts).predict(sample)[0]
+    for tiny in ("Ciao.", "a", "12."):
+        assert langid.LanguageModel({**texts, "xx": [tiny]}).predict(sample)[0] == before, tiny
+
+
 # --- pipeline --------------------------------------------------------------
 
 def test_pipeline_runs_and_keeps_schemas(spark):
