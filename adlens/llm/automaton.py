@@ -66,22 +66,57 @@ class SuffixAutomaton:
             state = self.link[state]
         return state
 
-    def jump_table(self, symbols: int) -> np.ndarray:
-        """For cross-parsing over symbols 0..symbols-1: entry [state, c] is
-        ``2 * row offset of the next state + 1 if a phrase ended before c``.
-
-        Where ``c`` cannot extend the match, the phrase ends and the parse
-        restarts at the root with ``c``. A symbol that occurs nowhere leads to
-        one extra state, from which every symbol ends a phrase: it is a phrase
-        of its own. At the root (a segment's start) no phrase ends."""
-        n = len(self.length)
-        go = np.zeros((n + 1, symbols), dtype=np.int64)
-        for s, edges in enumerate(self.next):
+    def jump_table(self, symbols: int, columns: int) -> JumpTable:
+        """For cross-parsing over symbols 0..symbols-1, see ``JumpTable``. The
+        symbols below ``columns`` have a column each."""
+        return JumpTable(self, symbols, min(columns, symbols))
+
+
+class JumpTable:
+    """The entry of a state (as its row offset) and a symbol is
+    ``2 * row offset of the next state + 1 if a phrase ended before the symbol``.
+
+    Where a symbol cannot extend the match, the phrase ends and the parse
+    restarts at the root with the symbol. A symbol that occurs nowhere leads to
+    one extra state, from which every symbol ends a phrase: it is a phrase
+    of its own. At the root (a segment's start) no phrase ends.
+
+    Symbols from ``columns`` on (the rarer ones) are no columns of the dense
+    table: what they extend is kept as sorted (state, symbol) keys."""
+
+    def __init__(self, auto: SuffixAutomaton, symbols: int, columns: int) -> None:
+        n = len(auto.length)
+        self.columns, self.rare = columns, symbols - columns
+        go = np.zeros((n + 1, columns), dtype=np.int64)
+        keys, ends = [], []
+        self.first = np.full(self.rare, n, dtype=np.int64)   # from the root, by rare symbol
+        for s, edges in enumerate(auto.next):
             for c, to in edges.items():
-                go[s, c] = to
+                if c < columns:
+                    go[s, c] = to
+                else:
+                    keys.append(s * columns * self.rare + c - columns)
+                    ends.append(to)
+                    if not s:
+                        self.first[c - columns] = to
         dead = go == 0
         dead[0] = False
         restart = np.where(go[0] == 0, n, go[0])
-        out = np.where(go == 0, restart[None, :], go) * symbols * 2 + dead
+        out = np.where(go == 0, restart[None, :], go) * columns * 2 + dead
         assert out.max(initial=0) < 2**31
-        return out.astype(np.int32).ravel()
+        self.dense = out.astype(np.int32).ravel()
+        order = np.argsort(keys, kind="stable") if keys else np.empty(0, np.int64)
+        self.keys = np.append(np.array(keys, dtype=np.int64)[order], np.iinfo(np.int64).max)
+        self.ends = (np.append(np.array(ends, dtype=np.int64)[order], 0) * columns * 2).astype(np.int32)
+        self.first = (self.first * columns * 2).astype(np.int32)
+
+    def step(self, state: np.ndarray, column: np.ndarray, at: np.ndarray, rare: np.ndarray) -> np.ndarray:
+        """Entries for states and symbols: ``column`` has the symbols below
+        ``columns`` (anything below it at ``at``), ``rare`` those of ``at``, less ``columns``."""
+        to = self.dense[state + column]
+        if len(at):
+            own = state[at]
+            key = own.astype(np.int64) * self.rare + rare
+            k = np.searchsorted(self.keys, key)
+            to[at] = np.where(self.keys[k] == key, self.ends[k], self.first[rare] + (own > 0))
+        return to

@@ -15,7 +15,9 @@ every language. A text is parsed in segments of ``SEGMENT`` characters (a
 phrase ends at a segment's end), all of them, for all languages.
 
 All segments of a batch advance side by side: one gather per character and
-language in the automaton's jump table.
+language in the automaton's jump table. Every letter of the training texts is a
+symbol; the ``ALPHABET`` most frequent have columns in the table, the others
+are found by binary search among the automaton's edges.
 
 Scale: training text is a bounded sample (``TRAIN_CHARS`` characters of each
 language, from at most ``TRAIN_DOCS`` documents of at most ``TRAIN_SLICE`` characters
@@ -45,12 +47,13 @@ UNKNOWN = "und"
 TRAIN_DOCS = 60
 TRAIN_SLICE = 2_000
 TRAIN_CHARS = 30_000
-ALPHABET = 120
+ALPHABET = 120           # letters with a column in the jump tables; the rarer ones are looked up
 SEGMENT = 512
 BATCH_CHARS = 4 << 20
 
 _RESULT = T.StructType([T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())])
 _CODES = 0x110000
+_NONE = np.empty(0, np.int64)
 
 
 class LanguageModel:
@@ -67,14 +70,14 @@ class LanguageModel:
                 for ch in t.lower():
                     if ch.isalpha():
                         counts[ch] = counts.get(ch, 0) + 1
-        letters = sorted(counts, key=lambda c: (-counts[c], c))[:alphabet]
-        self.lut = np.ones(_CODES, dtype=np.uint8)
+        letters = sorted(counts, key=lambda c: (-counts[c], c))
+        self.symbols, self.columns = len(letters) + 2, min(len(letters), alphabet) + 2
+        self.lut = np.ones(_CODES, dtype=np.min_scalar_type(self.symbols))
         self.lut[[i for i in range(_CODES) if chr(i).isalpha()]] = 0
         for k, ch in enumerate(letters):
             for form in {ch, ch.upper()}:
                 if len(form) == 1:
                     self.lut[ord(form)] = k + 2
-        self.symbols = len(letters) + 2
         self.tables, self.bits = [], []
         for lang in self.langs:
             auto, used = SuffixAutomaton(), 0
@@ -86,7 +89,7 @@ class LanguageModel:
                     used += len(run)
                 if used >= chars:
                     break
-            self.tables.append(auto.jump_table(self.symbols))
+            self.tables.append(auto.jump_table(self.symbols, self.columns))
             self.bits.append(np.log2(max(used, 2)))
 
     def encode(self, text: str) -> np.ndarray:
@@ -102,7 +105,7 @@ class LanguageModel:
         codes = [self.encode(t) for t in texts]
         n = np.array([len(c) for c in codes], dtype=np.int64)
         letters = np.array([int((c != 1).sum()) for c in codes], dtype=np.int64)
-        flat = np.concatenate([*codes, np.empty(0, np.uint8)])
+        flat = np.concatenate([*codes, np.empty(0, self.lut.dtype)])
         first = np.concatenate(([0], np.cumsum(n)))
         parts = -(-n // SEGMENT)
         doc = np.repeat(np.arange(len(texts)), parts)
@@ -120,8 +123,13 @@ class LanguageModel:
             if not k:
                 break
             symbol = flat[start[:k] + t]
-            for a, go in enumerate(self.tables):
-                to = go[state[a, :k] + symbol]
+            at = np.flatnonzero(symbol >= self.columns) if self.symbols > self.columns else _NONE
+            rare = symbol[at].astype(np.int64) - self.columns
+            if len(at):
+                symbol[at] = 0
+            symbol = symbol.astype(np.int32)
+            for a, table in enumerate(self.tables):
+                to = table.step(state[a, :k], symbol, at, rare)
                 phrases[a, :k] += to & 1
                 state[a, :k] = to >> 1
         for a in range(len(self.langs)):

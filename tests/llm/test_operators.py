@@ -456,6 +456,22 @@ def test_a_tiny_training_text_does_not_win(spark):
         assert langid.LanguageModel({**texts, "xx": [tiny]}).predict(sample)[0] == before, tiny
 
 
+def test_every_training_letter_counts():
+    rng = np.random.default_rng(4)
+    common = "".join(chr(c) for c in range(0x4E00, 0x4E00 + 200))
+    texts = {"a": ["".join(rng.choice(list(common), 3_000))],                          # crowds out a small alphabet
+             "b": ["αβγδ εζηθ " * 3], "c": ["дежз ийкл " * 3]}
+    model = langid.LanguageModel(texts)
+    langs, scores = model.predict(["εζηθ αβγδ", "ийкл дежз", texts["a"][0][50:90]])
+    assert langs == ["b", "c", "a"] and min(scores) > 0.5
+    # the phrases do not depend on how many letters have columns
+    mixed = ["".join(rng.choice(list(common + "αβγдеxyz .1"), 700)) + t[0] for t in texts.values()]
+    whole = langid.LanguageModel(texts, alphabet=10_000).phrases(mixed)
+    for columns in (0, 5, 120):
+        for a, b in zip(whole, langid.LanguageModel(texts, alphabet=columns).phrases(mixed), strict=True):
+            assert (a == b).all()
+
+
 # --- pipeline --------------------------------------------------------------
 
 def test_pipeline_runs_and_keeps_schemas(spark):
