@@ -49,6 +49,9 @@ TRAIN_SLICE = 2_000
 TRAIN_CHARS = 30_000
 ALPHABET = 120           # letters with a column in the jump tables; the rarer ones are looked up
 SEGMENT = 512
+FAR = 3.0                # unrecognisable: this many times the bits per character of labelled text,
+SINGLE = 0.9             # or this share of the characters phrases of their own
+SPARE = 4                # phrases that a text of any length may have
 BATCH_CHARS = 4 << 20
 
 _RESULT = T.StructType([T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())])
@@ -143,26 +146,38 @@ class LanguageModel:
         count, n, letters = self.phrases(texts)
         return count * np.array(self.bits) / np.maximum(n, 1)[:, None], letters
 
-    def predict(self, texts: list[str | None]) -> tuple[list[str], np.ndarray]:
-        langs, scores = [UNKNOWN] * len(texts), np.zeros(len(texts))
-        if not self.langs:
-            return langs, scores
+    def _counted(self, texts: list[str | None]) -> Iterator[tuple]:
+        """Places of texts that are not empty, with what ``phrases`` has of them, by batches."""
         at, size = [], 0
         for i, t in enumerate(texts):
             if t:
                 at.append(i)
                 size += len(t)
             if at and (size >= BATCH_CHARS or i == len(texts) - 1):
-                count, _, letters = self.phrases([texts[j] for j in at])
-                best = count.argmin(axis=1)
-                second = np.partition(count, 1, axis=1)[:, 1] if len(self.langs) > 1 else np.full(len(at), np.inf)
-                for k, j in enumerate(at):
-                    if letters[k]:
-                        langs[j] = self.langs[best[k]]
-                        scores[j] = 1 - count[k, best[k]] / second[k]
+                yield at, *self.phrases([texts[j] for j in at])
                 at, size = [], 0
+
+    def predict(self, texts: list[str | None]) -> tuple[list[str], np.ndarray]:
+        langs, scores = [UNKNOWN] * len(texts), np.zeros(len(texts))
+        for at, count, _, letters in self._counted(texts) if self.langs else ():
+            best = count.argmin(axis=1)
+            second = np.partition(count, 1, axis=1)[:, 1] if len(self.langs) > 1 else np.full(len(at), np.inf)
+            for k, j in enumerate(at):
+                if letters[k]:
+                    langs[j] = self.langs[best[k]]
+                    scores[j] = 1 - count[k, best[k]] / second[k]
         return langs, scores
 
+    def recognised(self, texts: list[str | None], limits: dict[str, float]) -> np.ndarray:
+        """True for texts with a letter whose best language (or one of several)
+        needs at most its limit of bits per character, besides ``SPARE`` phrases."""
+        out = np.zeros(len(texts), dtype=bool)
+        limit = np.array([limits[name] for name in self.langs])
+        for at, count, n, letters in self._counted(texts) if self.langs else ():
+            near = (count - SPARE) * max(self.bits) <= limit * n[:, None]
+            out[at] = (letters > 0) & (near & (count == count.min(axis=1)[:, None])).any(axis=1)
+        return out
+
 
 def training_texts(labelled: DataFrame, text: str = "text", lang: str = "lang", doc_id: str = "doc_id",
                    docs: int = TRAIN_DOCS, chars: int = TRAIN_SLICE) -> dict[str, list[str]]:
@@ -181,9 +196,30 @@ def training_texts(labelled: DataFrame, text: str = "text", lang: str = "lang",
     return {name: [t for _, t in sorted(ts)] for name, ts in out.items()}
 
 
+def limits(texts: dict[str, list[str]]) -> dict[str, float]:
+    """The most bits per character of recognisable text, by language: ``FAR``
+    times those of one half of its labelled texts parsed against the other.
+    What a language's little training cannot know raises its limit."""
+    halves = {name: (ts[::2], ts[1::2]) if len(ts) > 1 else ([ts[0][:len(ts[0]) // 2]], [ts[0][len(ts[0]) // 2:]])
+              for name, ts in texts.items()}
+    model = LanguageModel({name: learnt for name, (learnt, _) in halves.items()})
+    out = {}
+    for a, name in enumerate(model.langs):
+        count, n, _ = model.phrases(halves[name][1])
+        out[name] = float(max(model.bits) * min(FAR * count[:, a].sum() / max(n.sum(), 1), SINGLE))
+    return out
+
+
 _BUILT: dict[str, LanguageModel] = {}
 
 
+def _model(key: str, texts: dict[str, list[str]]) -> LanguageModel:
+    if key not in _BUILT:
+        _BUILT.clear()  # one model at a time per worker
+        _BUILT[key] = LanguageModel(texts)
+    return _BUILT[key]
+
+
 def identify(docs: DataFrame, texts: dict[str, list[str]], text: str = "text") -> DataFrame:
     """``docs`` with ``lang_pred`` (string) and ``score`` (double: how far the
     best language's phrases lie below the second's, 0 to 1)."""
@@ -192,15 +228,29 @@ def identify(docs: DataFrame, texts: dict[str, list[str]], text: str = "text") -
 
     @F.arrow_udf(_RESULT)
     def predict(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        if key not in _BUILT:
-            _BUILT.clear()  # one model at a time per worker
-            _BUILT[key] = LanguageModel(shared.value)
+        model = _model(key, shared.value)
         for part in slices(batches, 2_000):
-            langs, scores = _BUILT[key].predict(part.to_pylist())
+            langs, scores = model.predict(part.to_pylist())
             yield pa.StructArray.from_arrays([pa.array(langs, type=pa.string()), pa.array(scores)], names=_RESULT.names)
 
     return with_struct(docs, predict(F.col(quoted(text))), ["lang_pred", "score"])
 
 
+def keep_recognised(docs: DataFrame, texts: dict[str, list[str]], text: str = "text") -> DataFrame:
+    """The documents in a recognisable language: a letter, and bits per
+    character within the ``limits`` of the best language. Texts that fit several
+    languages alike stay."""
+    shared, most = docs.sparkSession.sparkContext.broadcast(texts), limits(texts)
+    key = uuid.uuid4().hex
+
+    @F.arrow_udf(T.BooleanType())
+    def recognised(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        model = _model(key, shared.value)
+        for part in slices(batches, 2_000):
+            yield pa.array(model.recognised(part.to_pylist(), most))
+
+    return docs.filter(recognised(F.col(quoted(text))))
+
+
 def train_fold(docs: DataFrame, doc_id: str = "doc_id") -> DataFrame:
     return docs.filter(fold(doc_id) != 0)

@@ -483,3 +483,21 @@ def test_pipeline_runs_and_keeps_schemas(spark):
         assert out.columns == docs.columns, name
     out = P.run(spark, SF)
     assert out.columns == ["doc_id", "lang", "source", "ids", "n_tokens"] and 0 < out.count() <= docs.count()
+
+
+def test_language_stage_keeps_short_and_tied_texts(spark):
+    import corpus_pipeline as P
+
+    learnt = spark.read.parquet("/root/testdata/sf0.1/documents.parquet").filter("length(text) > 500")
+    odd = [(-1, "This."), (-2, "De."), (-3, "Die tz."), (-4, "A.\nAll rights reserved."), (-5, "a"),
+           (-6, "日本語の文章です。これは日本語で書かれています。"), (-7, "xq zjw kqx vzpt qqjx wkzr " * 4), (-8, "12345"), (-9, None)]
+    rows = spark.createDataFrame([(i, t, None, "s", 0) for i, t in odd], DOCS)
+    both = learnt.select("doc_id", "text", "lang", "source", "n_chars").unionByName(rows)
+    kept = P.language_stage(spark, both, "").filter("doc_id < 0").collect()
+    assert {r["doc_id"] for r in kept} == {-1, -2, -3, -4, -5}
+
+
+def test_little_training_rejects_nothing_of_its_language():
+    learnt = {"en": ["the quick brown fox jumps over the lazy dog and runs away " * 40] * 4, "it": ["Ciao."]}
+    model = langid.LanguageModel(learnt)
+    assert model.recognised(["Ciao, ciao ciao a tutti", "the dog jumps"], langid.limits(learnt)).all()
