@@ -9,9 +9,13 @@ window's words are hit and the state names the items that contain it.
 Only runs of known item words can hold a window, so the walk covers those runs
 alone: a word that no item has ends every match.
 
-Scale: documents are read once per shard, row by row, with no shuffle. What
-is sent to executors is one shard of items, its size checked. A benchmark
-larger than a shard is passed over shard by shard.
+Scale: a benchmark of one shard is one pass over the documents, row by row,
+with no shuffle. A larger one is passed over shard by shard: the documents are
+stored once with a row number, each shard's pass is written before the next
+one's items are sent, and what the passes found is joined to the rows by number.
+So a worker holds one automaton: 80 MB for each MB of item text, measured on
+pieces of documents of sf0.1. Items longer than ``PIECE_WORDS`` words are cut into
+pieces that share a window less a word, so that a shard can be as small.
 
 Defined results: NULL or word-less texts have 0 words, 0 hits and are clean;
 NULL or word-less items have no window; an item with a NULL id marks hits but
@@ -22,20 +26,24 @@ each on its own; empty tables give no rows or no hits.
 from __future__ import annotations
 
 import re
+import uuid
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from adlens.llm.automaton import SuffixAutomaton
-from adlens.llm.common import quoted, slices, with_struct, without, word_list
+from adlens.llm.common import quoted, scratch, slices, stored, with_struct, without, word_list
 
 WINDOW = 13
 COVERAGE = 0.05          # contaminated: 20 * n_hit >= n_words
-SHARD_BYTES = 32 << 20   # item text in one automaton
+SHARD_BYTES = 2 << 20    # item text in one automaton
+PIECE_WORDS = 8_192      # of an item, where there are several shards
 
 _WORD = re.compile(r"[0-9A-Za-z\x80-\U0010ffff]+")
 _RESULT = T.StructType([
@@ -110,9 +118,7 @@ class _Forever:
 _MINUS_ONES = _Forever()
 
 
-def _scan_udf(items: list[tuple[str | None, str | None]], window: int, spark):
-    shared = spark.sparkContext.broadcast(items)
-
+def _scan_udf(shared: Broadcast, window: int):
     @F.arrow_udf(_RESULT)
     def scan(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         index = ItemIndex(shared.value, window)
@@ -127,13 +133,33 @@ def _scan_udf(items: list[tuple[str | None, str | None]], window: int, spark):
     return scan
 
 
-def item_shards(items: DataFrame, item_id: str, text: str) -> Iterator[list[tuple]]:
+def _pieces(window: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, 1):
+            ids, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
+            for item_id, text in zip(ids, texts, strict=True):
+                words = word_list(text)
+                step = max(PIECE_WORDS, 2 * window)
+                # the last piece is never shorter than a window, unless the item is
+                parts = [b" ".join(words[k:k + step + window - 1]).decode("utf-8")
+                         for k in range(0, max(len(words) - window + 1, 1), step)]
+                yield pa.RecordBatch.from_arrays([pa.array([item_id] * len(parts), type=pa.string()), pa.array(parts, type=pa.string())],
+                                                 names=["i", "t"])
+
+    return run
+
+
+def item_shards(items: DataFrame, item_id: str, text: str, window: int = WINDOW) -> Iterator[list[tuple]]:
     """The items, in shards whose text is about ``SHARD_BYTES`` at most."""
     rows = items.select(F.col(quoted(item_id)).cast("string").alias("i"), F.col(quoted(text)).alias("t"))
-    size = rows.agg(F.sum(F.octet_length("t") + F.lit(64)).alias("b")).first()["b"] or 0
-    shards = max(1, -(-int(size * 3 // 2) // SHARD_BYTES)) if size > SHARD_BYTES else 1
+    weight = F.sum(F.octet_length("t") + F.lit(64)).alias("b")
+    if (rows.agg(weight).first()["b"] or 0) <= SHARD_BYTES:
+        yield [(r["i"], r["t"]) for r in rows.collect()]
+        return
+    rows = stored(rows.filter("t IS NOT NULL").mapInArrow(_pieces(window), "i string, t string").distinct(), "items")
+    shards = max(1, -(-int((rows.agg(weight).first()["b"] or 0) * 3 // 2) // SHARD_BYTES))
     for k in range(shards):
-        part = rows if shards == 1 else rows.filter(F.pmod(F.xxhash64("i", "t"), F.lit(shards)) == k)
+        part = rows.filter(F.pmod(F.xxhash64("i", "t"), F.lit(shards)) == k)
         yield [(r["i"], r["t"]) for r in part.collect()]
 
 
@@ -141,18 +167,29 @@ def find_overlaps(docs: DataFrame, items: DataFrame, text: str = "text", item_id
                   item_text: str = "text", window: int = WINDOW) -> DataFrame:
     """``docs`` with ``n_words`` (long), ``hits`` (positions of hit words) and
     ``items`` (ids of the items with occurring windows)."""
-    out = None
-    for shard in item_shards(items, item_id, item_text):
-        found = _scan_udf(shard, window, docs.sparkSession)(F.col(quoted(text)))
-        if out is None:
-            out = docs.select(*[F.col(quoted(c)) for c in without(docs, ["_scan"])], found.alias("_scan"))
-        else:
-            more = found
-            out = out.withColumn("_more", more).withColumn("_scan", F.struct(
-                F.col("_scan.n_words").alias("n_words"),
-                F.array_union("_scan.hits", "_more.hits").alias("hits"),
-                F.array_union("_scan.items", "_more.items").alias("items"))).drop("_more")
-    return with_struct(out, F.col("_scan"), ["n_words", "hits", "items"]).drop("_scan")
+    spark, fields = docs.sparkSession, [f.name for f in _RESULT]
+    shards = item_shards(items, item_id, item_text, window)
+    shard, more = next(shards), next(shards, None)
+    if more is None:
+        return with_struct(docs, _scan_udf(spark.sparkContext.broadcast(shard), window)(F.col(quoted(text))), fields)
+    row, found = "_row_" + uuid.uuid4().hex, "_found_" + uuid.uuid4().hex
+    kept = stored(docs.withColumn(row, F.monotonically_increasing_id()), "documents")
+    paths = []
+    for part in chain([shard, more], shards):
+        shared = spark.sparkContext.broadcast(part)
+        # not deterministic, so that the filter does not scan a second time
+        scan = _scan_udf(shared, window).asNondeterministic()
+        got = kept.select(row, scan(F.col(quoted(text))).alias("r")).select(row, "r.*")
+        if paths:  # the first pass has all rows
+            got = got.filter(F.size("hits") > 0)
+        paths.append(scratch(spark, "overlaps"))
+        got.write.parquet(paths[-1])
+        shared.destroy()
+    merged = spark.read.parquet(*paths).groupBy(row).agg(F.struct(
+        F.max("n_words").alias("n_words"),
+        F.array_sort(F.array_distinct(F.flatten(F.collect_list("hits")))).alias("hits"),
+        F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items")).alias(found))
+    return with_struct(kept.join(merged, row), F.col(found), fields).drop(row, found)
 
 
 def contaminated(coverage: float = COVERAGE):

@@ -111,6 +111,29 @@ def test_decontamination_in_shards_and_cuts(spark, monkeypatch, edge):
     assert decontaminate.decontaminate(edge.limit(0), frame).count() == 0
 
 
+def test_each_shard_is_a_pass_of_its_own(spark, monkeypatch):
+    monkeypatch.setattr(decontaminate, "SHARD_BYTES", 2_000)
+    monkeypatch.setattr(decontaminate, "PIECE_WORDS", 30)
+    rng = np.random.default_rng(8)
+    vocab = [f"w{k}" for k in range(40)]
+    long = " ".join(f"z{k}" for k in range(800))                                    # several shards long by itself
+    items = [(k, " ".join(rng.choice(vocab, 60))) for k in range(12)] + [(50, long), (51, "one two"), (None, "lone item"), (52, None)]
+    frame = spark.createDataFrame(items, "item_id long, text string")
+    sizes = [sum(len(t) for _, t in s) for s in decontaminate.item_shards(frame, "item_id", "text")]
+    assert len(sizes) > 3 and max(sizes) <= 2_000 and sum(sizes) >= len(long)
+    docs = [(1, items[3][1] + " x " + items[7][1][:100]), (2, " ".join(long.split()[20:60])), (3, None), (3, "a lone item"),
+            (4, "three one two"), (5, ""), (None, "clean words"), (6, long), (6, long)]
+    live = []
+    built = decontaminate._scan_udf
+    monkeypatch.setattr(decontaminate, "_scan_udf", lambda shared, window: live.append(shared) or built(shared, window))
+    out = decontaminate.find_overlaps(docs_frame(spark, docs), frame)
+    assert out.columns == ["doc_id", "text", "lang", "source", "n_chars", "n_words", "hits", "items"] and len(live) == len(sizes)
+    got = sorted(((r["doc_id"], r["n_words"], tuple(r["hits"]), tuple(r["items"])) for r in out.collect()), key=str)
+    want = [(i, n, h, tuple(x for x in f if x != "None")) for i, n, h, f in brute_overlap(docs, items)]
+    assert got == want
+    assert "PythonUDF" not in out._jdf.queryExecution().optimizedPlan().toString()  # no automaton is left to the plan
+
+
 # --- 2 ---------------------------------------------------------------------
 
 def test_vector_links_equal_brute_force(spark):
