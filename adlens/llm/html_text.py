@@ -5,8 +5,8 @@ tags, each with its ancestors' tags and class/id words, its share of linked
 characters and the look of its text. A linear-chain conditional random field
 labels each block main or not; Viterbi finds the best label sequence of a page.
 
-Training pages: a bounded hash sample of the input (``TRAIN_PAGES`` in
-expectation), labelled by its semantic markup where there is any (inside
+Training pages: a bounded hash sample of the pages with semantic markup, of any
+length (``TRAIN_PAGES`` in expectation, all where there are fewer), labelled by it (inside
 ``article`` or ``main``, outside navigation, footers, asides, forms ...), and the same pages
 *redressed*: their blocks in other containers (classes of content, menu,
 sidebar, comment, notice ... instead of semantic tags), so that the field learns class
@@ -16,8 +16,8 @@ words and text features as well. Training is stochastic gradient ascent on the l
 Scripts, styles, templates, forms' controls, comments and the head are no text. Character references are
 decoded, white space inside a block (line breaks included) becomes one space.
 
-Scale: pages are read once for the sample and once for extraction, row by row,
-no shuffle; the field's weights (a few thousand numbers) are broadcast.
+Scale: pages are read twice for the sample (to count those with markup, and to
+draw; again where the markup seldom held text) and once for extraction, row by row, no shuffle; the field's weights (a few thousand numbers) are broadcast.
 
 Defined results: NULL, empty and text-less pages give an empty text; broken
 markup is read to its end; pages with one id are extracted each on their own;
@@ -42,7 +42,6 @@ from pyspark.sql import types as T
 from adlens.llm.common import quoted, share, slices, with_struct
 
 TRAIN_PAGES = 120
-TRAIN_CHARS = 40_000     # longer pages are left out of the training sample
 EPOCHS = 8
 
 # Element kinds of HTML.
@@ -57,6 +56,7 @@ SIBLINGS = {"li": frozenset(["li"]), "dt": frozenset(["dt", "dd"]), "dd": frozen
             "tr": frozenset(["tr", "td", "th"]), "td": frozenset(["td", "th"]), "th": frozenset(["td", "th"])}
 LIST_SCOPE = frozenset(["ul", "ol", "menu", "dl", "table", "body", "article", "section", "div"])
 MAIN_TAGS = frozenset(["article", "main"])
+_SEMANTIC = r"(?i)<(article|main)[\s/>]"
 OTHER_TAGS = frozenset("nav footer aside form dialog menu".split())
 # Class and id words by which redressed pages are built.
 MAIN_WORDS = ("content article post entry story main body text prose article-body post-content entry-content "
@@ -402,17 +402,28 @@ def fit(pages: list[tuple[list[Block], list[int]]], epochs: int = EPOCHS, rate:
     return model
 
 
+@F.arrow_udf(T.BooleanType())
+def _learnable(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+    for part in slices(batches):
+        yield pa.array([any(semantic_labels(blocks(h)) or ()) for h in part.to_pylist()], type=pa.bool_())
+
+
 def train_model(pages: DataFrame, html: str = "html", page_id: str = "page_id", rows: int = TRAIN_PAGES) -> Field | None:
-    own = pages.select(F.col(quoted(page_id)).alias("i"), F.col(quoted(html)).alias("h")) \
-        .filter(F.col("i").isNotNull() & (F.length("h") > 0) & (F.length("h") <= TRAIN_CHARS))
-    known = own.count()
-    sample = own.filter(share(min(1.0, rows / max(known, 1)), "i")).select(F.xxhash64("i").alias("k"), "h").collect()
+    own = pages.select(F.col(quoted(page_id)).alias("i"), F.col(quoted(html)).alias("h")).filter("i IS NOT NULL")
+    semantic = F.col("h").rlike(_SEMANTIC)
+    known = own.filter(semantic).count()
+    part = min(1.0, rows / max(known, 1))
+    while True:
+        # the markup may be in a script or hold no text: more is drawn until enough pages have labels
+        sample = own.filter(share(part, "i")).filter(semantic).filter(_learnable("h")) \
+            .select(F.xxhash64("i").alias("k"), "h").collect() if known else []
+        if part == 1.0 or 2 * len(sample) >= rows:
+            break
+        part = min(1.0, part * min(16.0, rows / max(len(sample), 1)))
     labelled = []
     for r in sorted(sample, key=lambda r: (r["k"], r["h"])):
         page = blocks(r["h"])
-        labels = semantic_labels(page)
-        if labels is not None and any(labels):
-            labelled.append((page, labels))
+        labelled.append((page, semantic_labels(page)))
     if not labelled:
         return None
     rng = np.random.default_rng(11)

@@ -268,6 +268,21 @@ def test_html_blocks_and_extraction(spark):
     assert html_text.extract(odd, html_text.train_model(odd.limit(0))).count() == 6
 
 
+def test_training_pages_are_drawn_from_labelled_ones(spark):
+    bare = '<div class="menu"><a href=x>One</a></div><div class="content"><p>Words of a story, and more of them.</p></div>'
+    false = "<script>'<main>'</script><p>No markup here.</p>"
+    rows = [(k, bare if k % 2 else false) for k in range(4_000)]
+    rows += [(5_000 + k, PAGE.replace("Title", f"Title {k}") + "<p>" + "x" * 50_000 * (k % 2)) for k in range(6)]
+    pages = spark.createDataFrame(rows, "page_id long, html string")
+    model = html_text.train_model(pages)
+    assert model is not None
+    assert "cookies" not in html_text.main_text(PAGE.replace("article>", "section>"), model)
+    # a table of its labelled pages alone gives the same field
+    alone = html_text.train_model(pages.filter("page_id >= 5000"))
+    assert model.index == alone.index and np.array_equal(model.weight, alone.weight)
+    assert html_text.train_model(pages.filter("page_id < 5000")) is None
+
+
 def test_viterbi_finds_the_best_chain():
     rng = np.random.default_rng(5)
     page = html_text.blocks(PAGE)[:8]
