@@ -20,8 +20,8 @@ symbol; the ``ALPHABET`` most frequent have columns in the table, the others
 are found by binary search among the automaton's edges.
 
 Scale: training text is a bounded sample (``TRAIN_CHARS`` characters of each
-language, from at most ``TRAIN_DOCS`` documents of at most ``TRAIN_SLICE`` characters
-in expectation); the scoring pass reads every document once, row by row, without a shuffle.
+language, from at most ``TRAIN_DOCS`` documents in expectation, of each
+``TRAIN_SLICE`` characters from a place that a hash of its id chooses); the scoring pass reads every document once, row by row, without a shuffle.
 Automata are rebuilt in each worker from the broadcast sample.
 
 Defined results: a NULL text and a text without a letter are ``und`` with score
@@ -191,7 +191,9 @@ def training_texts(labelled: DataFrame, text: str = "text", lang: str = "lang",
     for name, n in sizes.items():
         pick = pick | ((F.col("l") == name) & share(min(1.0, docs / n), "i"))
     out: dict[str, list[tuple]] = {}
-    for r in rows.filter(pick).select("l", F.xxhash64("i").alias("h"), F.substring("t", 1, chars).alias("t")).collect():
+    spare = F.greatest(F.length("t") - F.lit(chars), F.lit(0)).cast("long")
+    start = F.pmod(F.xxhash64(F.lit(3), F.col("i")), spare + 1).cast("int") + 1
+    for r in rows.filter(pick).select("l", F.xxhash64("i").alias("h"), F.col("t").substr(start, F.lit(chars)).alias("t")).collect():
         out.setdefault(r["l"], []).append((r["h"], r["t"]))
     return {name: [t for _, t in sorted(ts)] for name, ts in out.items()}
 

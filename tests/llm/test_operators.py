@@ -510,6 +510,13 @@ def test_every_training_letter_counts():
             assert (a == b).all()
 
 
+def test_languages_are_learned_from_anywhere_in_a_document(spark):
+    rows = [(k, "header " * 300 + f"body{k} " * 2_000, "x", "s", 0) for k in range(20)] + [(90, "short", "x", "s", 0)]
+    got = langid.training_texts(spark.createDataFrame(rows, DOCS))["x"]
+    assert len(got) == 21 and "short" in got and max(map(len, got)) == langid.TRAIN_SLICE
+    assert sum("body" in t for t in got) > 15
+
+
 # --- pipeline --------------------------------------------------------------
 
 def test_pipeline_runs_and_keeps_schemas(spark):
