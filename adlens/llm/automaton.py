@@ -87,7 +87,8 @@ class JumpTable:
     def __init__(self, auto: SuffixAutomaton, symbols: int, columns: int) -> None:
         n = len(auto.length)
         self.columns, self.rare = columns, symbols - columns
-        go = np.zeros((n + 1, columns), dtype=np.int64)
+        assert (n + 1) * columns * 2 < 2**31
+        go = np.zeros((n + 1, columns), dtype=np.int32)
         keys, ends = [], []
         self.first = np.full(self.rare, n, dtype=np.int64)   # from the root, by rare symbol
         for s, edges in enumerate(auto.next):
@@ -100,11 +101,11 @@ class JumpTable:
                     if not s:
                         self.first[c - columns] = to
         dead = go == 0
+        np.copyto(go, np.where(dead[0], n, go[0]), where=dead, casting="same_kind")
         dead[0] = False
-        restart = np.where(go[0] == 0, n, go[0])
-        out = np.where(go == 0, restart[None, :], go) * columns * 2 + dead
-        assert out.max(initial=0) < 2**31
-        self.dense = out.astype(np.int32).ravel()
+        go *= columns * 2
+        go += dead
+        self.dense = go.ravel()
         order = np.argsort(keys, kind="stable") if keys else np.empty(0, np.int64)
         self.keys = np.append(np.array(keys, dtype=np.int64)[order], np.iinfo(np.int64).max)
         self.ends = (np.append(np.array(ends, dtype=np.int64)[order], 0) * columns * 2).astype(np.int32)
