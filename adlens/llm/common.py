@@ -44,6 +44,16 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def dropped(df: DataFrame) -> None:
+    """Delete the written table(s) behind a frame of :func:`stored` that nothing reads any more."""
+    spark = df.sparkSession
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+        if "/adlens_llm/" in folder:
+            path = jvm.org.apache.hadoop.fs.Path(folder)
+            path.getFileSystem(conf).delete(path, True)
+
+
 def without(df: DataFrame, names: Iterable[str]) -> list[str]:
     """Columns of ``df`` that do not clash with ``names``."""
     gone = {n.lower() for n in names}

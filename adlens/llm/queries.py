@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from adlens.llm import decontaminate, html_text, langid, pieces, quality, shingle_join, token_ids, toxicity, vector_join, warc
+from adlens.llm import ball_codes, decontaminate, html_text, langid, pieces, quality, shingle_join, token_ids, toxicity, vector_join, warc
 from adlens.llm.common import fold, table
 
 
@@ -74,6 +74,10 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", (fold("doc_id") == 0).alias("held_out"), "lang_pred", "score")
 
 
+def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ball_codes.code_report(table(spark, sf_dir, "embeddings"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -82,7 +86,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     own = (op1_decontaminate, op2_near_vectors, op3_toxicity, op4_token_ids, op5_html_text, op6_shingle_join, op7_warc,
-           op8_quality, op9_pieces, op10_language, pipeline)
+           op8_quality, op9_pieces, op10_language, op11_vector_codes, pipeline)
     return {f.__name__: f for f in own}
 
 
@@ -147,5 +151,34 @@ FROM f
 """
 
 
+def _op11(parts: int = 8, entries: int = 16, rounds: int = 6) -> str:
+    """Plain k-means over all entries, a pair of statements a round."""
+    sql = f"""
+WITH raw AS (SELECT vec_id, label, embedding AS e FROM embeddings WHERE embedding IS NOT NULL
+       AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0),
+v AS (SELECT vec_id, label, [CAST(floor(4096 * x::DOUBLE) AS BIGINT) FOR x IN e] AS z FROM raw),
+p AS (SELECT vec_id, i, z[i * len(z) // {parts} + 1:(i + 1) * len(z) // {parts}] AS x FROM v, range({parts}) r(i)),
+b0 AS (SELECT i, row_number() OVER (PARTITION BY i ORDER BY vec_id) - 1 AS j, x AS c FROM p
+       WHERE vec_id IN (SELECT vec_id FROM v ORDER BY vec_id LIMIT {entries}))"""
+    for k in range(rounds + 1):
+        sql += f""",
+a{k} AS (SELECT vec_id, i, min_by(j, d * {entries} + j) AS j, min(d) AS d
+         FROM (SELECT vec_id, p.i, j, list_sum([(x[t] - c[t]) * (x[t] - c[t]) FOR t IN range(1, len(x) + 1)])::BIGINT AS d
+               FROM p JOIN b{k} ON p.i = b{k}.i) GROUP BY vec_id, i)"""
+        if k < rounds:
+            sql += f""",
+s{k} AS (SELECT i, j, t, sum(x[t])::BIGINT AS s, count(*) AS n
+         FROM (SELECT a.i, a.j, x, unnest(range(1, len(x) + 1)) AS t FROM a{k} a JOIN p ON p.vec_id = a.vec_id AND p.i = a.i)
+         GROUP BY i, j, t),
+n{k} AS (SELECT i, j, list((s - ((s % n) + n) % n) // n ORDER BY t) AS c FROM s{k} GROUP BY i, j),
+b{k + 1} AS (SELECT b.i, b.j, coalesce(n.c, b.c) AS c FROM b{k} b LEFT JOIN n{k} n ON n.i = b.i AND n.j = b.j)"""
+    return sql + f""",
+r AS (SELECT vec_id, string_agg(printf('%02x', j), '' ORDER BY i) AS code, sum(d)::BIGINT AS error FROM a{rounds} GROUP BY vec_id),
+h AS (SELECT sha256(string_agg(array_to_string(c, ','), ',' ORDER BY i, j)) AS h FROM b{rounds})
+SELECT vec_id, code, error, (sum(error) OVER (PARTITION BY label))::BIGINT AS label_error, h AS codebooks_sha256
+FROM r JOIN v USING (vec_id), h
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op1_decontaminate": _OP1, "op2_near_vectors": _OP2, "op6_shingle_join": _OP6, "op7_warc": _OP7}
+    return {"op1_decontaminate": _OP1, "op2_near_vectors": _OP2, "op6_shingle_join": _OP6, "op7_warc": _OP7, "op11_vector_codes": _op11()}
