@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from adlens.llm import ball_codes, decontaminate, html_text, langid, pieces, quality, shingle_join, token_ids, toxicity, vector_join, warc
+from adlens.llm import ball_codes, decontaminate, html_text, langid, license_rules, pieces, quality, shingle_join, token_ids, toxicity, vector_join, warc
 from adlens.llm.common import fold, table
 
 
@@ -78,6 +78,11 @@ def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ball_codes.code_report(table(spark, sf_dir, "embeddings"))
 
 
+def op12_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = license_rules.scan(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select("doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score")
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -86,7 +91,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     own = (op1_decontaminate, op2_near_vectors, op3_toxicity, op4_token_ids, op5_html_text, op6_shingle_join, op7_warc,
-           op8_quality, op9_pieces, op10_language, op11_vector_codes, pipeline)
+           op8_quality, op9_pieces, op10_language, op11_vector_codes, op12_license_scan, pipeline)
     return {f.__name__: f for f in own}
 
 
@@ -180,5 +185,40 @@ FROM r JOIN v USING (vec_id), h
 """
 
 
+def _op12() -> str:
+    """Every rule on every text that holds its anchor; places compared in pairs."""
+    def text(value: str) -> str:
+        return "'" + value.replace("'", "''") + "'"
+
+    rules = ",\n".join(f"({r.tier}, {r.order}, {text(r.label)}, {text('licen' if r.keys[0] == 'license' else r.keys[0])}, {text(r.regex)})"
+                       for r in license_rules.rules())
+    base = ", ".join(f"({text(p)}, {text(v)})" for p, v in license_rules.BASE.items())
+    conf = ", ".join(f"({t}, {c}::DOUBLE)" for t, c in enumerate(license_rules.CONFIDENCE))
+    return rf"""
+WITH rules(tier, ord, label, anchor, regex) AS (VALUES {rules}),
+base(phrase, label) AS (VALUES {base}), conf(tier, c) AS (VALUES {conf}),
+d AS (SELECT row_number() OVER () AS k, doc_id,
+             regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+t AS (SELECT k, w, array_to_string(w, ' ') AS s FROM d),
+b AS (SELECT k, label, unnest([i - 1 FOR i IN range(1, len(w) + 1) IF w[i:i + len(pw) - 1] = pw]) AS pos
+      FROM t JOIN (SELECT string_split(phrase, ' ') AS pw, phrase, label FROM base) ON contains(s, phrase)),
+bs AS (SELECT k, count(*) AS n, min(pos) AS lo, max(pos) AS hi FROM b GROUP BY k),
+m AS (SELECT k, tier, ord, label, unnest(regexp_extract_all(
+          array_to_string([' ' || (i - 1) || ':' || w[i] || ' ' FOR i IN range(1, len(w) + 1)], ''), regex)) AS m
+      FROM t JOIN rules ON contains(s, anchor)),
+p AS (SELECT k, tier, ord, label, regexp_extract(m, '^ ([0-9]+):', 1)::INT AS lo, regexp_extract(m, '([0-9]+):[^ ]* $', 1)::INT AS hi FROM m),
+kept AS (SELECT * FROM p WHERE NOT EXISTS (SELECT 1 FROM p q WHERE q.k = p.k AND q.lo <= p.lo AND q.hi >= p.hi
+         AND (q.tier < p.tier OR q.tier = p.tier AND (q.hi - q.lo > p.hi - p.lo OR q.hi - q.lo = p.hi - p.lo AND q.ord < p.ord)))),
+names AS (SELECT k, string_agg(label, ',' ORDER BY label) AS labels FROM (SELECT k, label FROM b UNION SELECT k, label FROM kept) GROUP BY k),
+bn AS (SELECT k, string_agg(label, ',' ORDER BY label) AS labels FROM (SELECT DISTINCT k, label FROM b) GROUP BY k),
+best AS (SELECT k, c FROM (SELECT k, min(tier) AS tier FROM kept GROUP BY k) JOIN conf USING (tier))
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(bs.n, 0)::BIGINT AS n_base, lo::BIGINT AS first_word, hi::BIGINT AS last_word,
+       coalesce(bn.labels, '') AS base_labels, coalesce(names.labels, '') AS labels,
+       coalesce(c, CASE WHEN bs.n > 0 THEN {license_rules.BASE_SCORE}::DOUBLE END, 0::DOUBLE) AS score
+FROM d LEFT JOIN bs USING (k) LEFT JOIN bn USING (k) LEFT JOIN names USING (k) LEFT JOIN best USING (k)
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op1_decontaminate": _OP1, "op2_near_vectors": _OP2, "op6_shingle_join": _OP6, "op7_warc": _OP7, "op11_vector_codes": _op11()}
+    return {"op1_decontaminate": _OP1, "op2_near_vectors": _OP2, "op6_shingle_join": _OP6, "op7_warc": _OP7, "op11_vector_codes": _op11(), "op12_license_scan": _op12()}
