@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from adlens.llm import ball_codes, decontaminate, html_text, langid, license_rules, pieces, quality, shingle_join, token_ids, toxicity, vector_join, warc
+from adlens.llm import ball_codes, decontaminate, html_text, langid, license_rules, pieces, quality, shingle_join, token_ids, token_links, toxicity, vector_join, warc
 from adlens.llm.common import fold, table
 
 
@@ -83,6 +83,11 @@ def op12_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score")
 
 
+def op13_token_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, _ = token_links.align_corpus(table(spark, sf_dir, "documents"), _tokenizer("byte_bpe_50k.json"), _tokenizer("piece_bpe_32k.model"))
+    return docs
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -91,7 +96,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     own = (op1_decontaminate, op2_near_vectors, op3_toxicity, op4_token_ids, op5_html_text, op6_shingle_join, op7_warc,
-           op8_quality, op9_pieces, op10_language, op11_vector_codes, op12_license_scan, pipeline)
+           op8_quality, op9_pieces, op10_language, op11_vector_codes, op12_license_scan, op13_token_links, pipeline)
     return {f.__name__: f for f in own}
 
 
