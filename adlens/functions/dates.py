@@ -45,6 +45,12 @@ def in_range(col, start: dt.date, end: dt.date) -> Column:
     return c.between(F.lit(start), F.lit(end))
 
 
+def on_days(df: DataFrame, day: str, start: dt.date, end: dt.date) -> DataFrame:
+    """Rows of a stored table whose partition column ``day`` lies in the range (a frame
+    without that column passes whole: the caller's own filter decides)."""
+    return df.filter(in_range(day, start, end)) if day in df.columns else df
+
+
 def date_series(spark: SparkSession, start: dt.date, end: dt.date, name: str = "date") -> DataFrame:
     """One row per calendar day in ``[start, end]``.
 

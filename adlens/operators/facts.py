@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from adlens.functions.dates import day_of
+from adlens.sources import schema as S
 from adlens.sources.schema import MONEY_SUM_DDL as MONEY_SUM
 
 
@@ -61,7 +62,7 @@ def session_facts(sessions: DataFrame, conversions: DataFrame, new_flag: bool =
                   history: DataFrame | None = None) -> DataFrame:
     """One row per session with its conversion totals.
 
-    Columns: the session's own columns, ``session_date``, ``conversions``
+    Columns: the session's declared columns, ``session_date``, ``conversions``
     (0 when none), ``converted`` (1 when at least one conversion),
     ``revenue`` (0.00 when none) and, with ``new_flag``, ``is_new_user_session``
     (first session of the user over ``history``, default all of ``sessions``;
@@ -73,7 +74,7 @@ def session_facts(sessions: DataFrame, conversions: DataFrame, new_flag: bool =
     if new_flag:
         out = out.join(first_sessions(history if history is not None else sessions), "session_id", "left")
     cols = [
-        *[F.col(c) for c in sessions.columns],
+        *[F.col(c) for c in sessions.columns if c not in S.DAY_COLUMNS.values()],
         day_of("session_datetime").alias("session_date"),
         F.coalesce(F.col("conversions"), F.lit(0)).alias("conversions"),
         F.col("first_conversion_id").isNotNull().cast("int").alias("converted"),

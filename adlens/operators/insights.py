@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from adlens.functions.dates import date_bounds, day_of, in_range
+from adlens.functions.dates import date_bounds, day_of, in_range, on_days
 from adlens.functions.labels import one_spelling
 from adlens.functions.ratios import ratio, ratio_or_0, zero_if_null
 from adlens.operators.facts import (daily_clicks, first_sessions, money_sum, money_total,
@@ -106,7 +106,7 @@ def new_vs_returning(sessions: DataFrame, start_date, end_date) -> DataFrame:
     filter (the first-session set is computed from the unfiltered table)."""
     start, end = date_bounds(start_date, end_date, 50010)
     firsts = first_sessions(sessions)
-    in_range_s = sessions.filter(in_range(day_of("session_datetime"), start, end)).select(
+    in_range_s = on_days(sessions, "session_day", start, end).filter(in_range(day_of("session_datetime"), start, end)).select(
         "session_id", day_of("session_datetime").alias("session_date"))
     flagged = in_range_s.join(firsts, "session_id", "left").select(
         "session_date", zero_if_null("is_new_user_session").alias("is_new"))

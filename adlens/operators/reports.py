@@ -12,7 +12,7 @@ import datetime as dt
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from adlens.functions.dates import check_range, day_of, in_range
+from adlens.functions.dates import check_range, day_of, in_range, on_days
 from adlens.functions.ratios import ratio_or_0, zero_if_null
 from adlens.operators.facts import money_sum, session_facts
 
@@ -21,6 +21,16 @@ PERFORMANCE_MISSING, PERFORMANCE_ORDER = 50010, 50011
 DAY_PERFORMANCE_MISSING, DAY_PERFORMANCE_ORDER = 50020, 50021
 
 
+def _in_range(clicks: DataFrame, sessions: DataFrame, conversions: DataFrame, start: dt.date,
+              end: dt.date) -> tuple[DataFrame, DataFrame]:
+    """(clicks, session facts) of the range. Stored tables are pruned to the
+    partitions of its days, conversions by their session's day: whenever they
+    happened, they count on that day and on no other."""
+    own = on_days(sessions, "session_day", start, end).filter(in_range(day_of("session_datetime"), start, end))
+    clk = on_days(clicks, "click_day", start, end).filter(in_range(day_of("click_datetime"), start, end))
+    return clk, session_facts(own, on_days(conversions, "session_day", start, end))
+
+
 def _session_measures(facts: DataFrame, keys) -> DataFrame:
     return facts.groupBy(*keys).agg(
         F.count("session_id").alias("sessions"),
@@ -64,9 +74,9 @@ def campaign_performance(campaigns: DataFrame, clicks: DataFrame, sessions: Data
     then sessions (descending), campaign_id.
     """
     start, end = check_range(start_date, end_date, PERFORMANCE_MISSING, PERFORMANCE_ORDER)
-    in_sessions = sessions.filter(in_range(day_of("session_datetime"), start, end))
-    sc = _session_measures(session_facts(in_sessions, conversions), ["campaign_id"])
-    cl = _click_measures(clicks.filter(in_range(day_of("click_datetime"), start, end)), ["campaign_id"])
+    in_clicks, facts = _in_range(clicks, sessions, conversions, start, end)
+    sc = _session_measures(facts, ["campaign_id"])
+    cl = _click_measures(in_clicks, ["campaign_id"])
     dim = campaigns.select("campaign_id", "campaign_name", "channel")
     out = _kpis(dim.join(cl, "campaign_id", "left").join(sc, "campaign_id", "left"),
                 ["campaign_id", "campaign_name", "channel"])
@@ -92,11 +102,9 @@ def campaign_day_performance(campaigns: DataFrame, clicks: DataFrame, sessions:
     grid = campaigns.select(
         "campaign_id", "campaign_name", "channel",
         F.explode(F.sequence(F.lit(start), F.lit(end), F.expr("INTERVAL 1 DAY"))).alias("date"))
-    in_sessions = sessions.filter(in_range(day_of("session_datetime"), start, end))
-    sc = _session_measures(session_facts(in_sessions, conversions),
-                           ["campaign_id", F.col("session_date").alias("date")])
-    cl = _click_measures(clicks.filter(in_range(day_of("click_datetime"), start, end)),
-                         ["campaign_id", day_of("click_datetime").alias("date")])
+    in_clicks, facts = _in_range(clicks, sessions, conversions, start, end)
+    sc = _session_measures(facts, ["campaign_id", F.col("session_date").alias("date")])
+    cl = _click_measures(in_clicks, ["campaign_id", day_of("click_datetime").alias("date")])
     j = grid.join(sc, ["campaign_id", "date"], "left").join(cl, ["campaign_id", "date"], "left")
     out = _kpis(j, ["campaign_id", "campaign_name", "channel", "date"]).select(
         "campaign_id", "campaign_name", "channel", "date", "sessions", "clicks", "conversions",

@@ -22,7 +22,7 @@ import datetime as dt
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from adlens.functions.dates import as_date, date_bounds, day_of, in_range
+from adlens.functions.dates import as_date, date_bounds, day_of, in_range, on_days
 from adlens.functions.labels import one_spelling
 from adlens.functions.ratios import cohort_ratio, ratio, zero_if_null
 from adlens.operators.facts import daily_clicks, money_total, session_facts
@@ -31,7 +31,7 @@ from adlens.operators.sequence import sequence_number
 COHORT_WINDOWS = (0, 7, 30)
 
 
-def sessions_enriched(sessions: DataFrame, partitions: int | None = None) -> DataFrame:
+def sessions_enriched(sessions: DataFrame) -> DataFrame:
     """Every session with ``session_date``, ``rn_user_session`` (1-based
     position in the user's whole history by time, ties broken by session_id)
     and ``is_new_user_session`` (1 for the first).
@@ -40,8 +40,7 @@ def sessions_enriched(sessions: DataFrame, partitions: int | None = None) -> Dat
     """
     base = sessions.select("user_id", "session_id", "campaign_id", "landing_page", "device",
                            "session_datetime")
-    seq = sequence_number(base, "user_id", ["session_datetime", "session_id"], "rn_user_session",
-                          partitions)
+    seq = sequence_number(base, "user_id", ["session_datetime", "session_id"], "rn_user_session")
     return seq.select(
         "user_id", "session_id", "campaign_id", "landing_page", "device", "session_datetime",
         day_of("session_datetime").alias("session_date"),
@@ -141,7 +140,7 @@ def _clicks_in(clicks: DataFrame, cohort_start, cohort_end) -> DataFrame:
     if cohort_start is None and cohort_end is None:
         return clicks
     start, end = date_bounds(cohort_start, cohort_end, 50010)
-    return clicks.filter(in_range(day_of("click_datetime"), start, end))
+    return on_days(clicks, "click_day", start, end).filter(in_range(day_of("click_datetime"), start, end))
 
 
 def click_cohort(clicks: DataFrame, sessions: DataFrame, conversions: DataFrame,

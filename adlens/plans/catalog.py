@@ -68,7 +68,7 @@ def _tables(m: Model) -> dict[str, DataFrame]:
 # -- S1 typed scans ----------------------------------------------------------
 
 for _t in ("campaigns", "users", "clicks", "sessions", "conversions", "costs_daily"):
-    query(f"src_{_t}")(lambda m, _t=_t: m.table(_t))
+    query(f"src_{_t}")(lambda m, _t=_t: S.declared(m.table(_t), _t))
 
 
 # -- views -------------------------------------------------------------------
@@ -315,17 +315,17 @@ def _o1a(m):
 
 @query("top5_clicks")
 def _o1b(m):
-    return top_n(m.clicks, 5, ["click_datetime", "click_id"])
+    return top_n(S.declared(m.clicks, "clicks"), 5, ["click_datetime", "click_id"])
 
 
 @query("top5_sessions")
 def _o1c(m):
-    return top_n(m.sessions, 5, ["session_datetime", "session_id"])
+    return top_n(S.declared(m.sessions, "sessions"), 5, ["session_datetime", "session_id"])
 
 
 @query("top5_conversions")
 def _o1d(m):
-    return top_n(m.conversions, 5, ["conversion_datetime", "conversion_id"])
+    return top_n(S.declared(m.conversions, "conversions"), 5, ["conversion_datetime", "conversion_id"])
 
 
 @query("top5_costs_daily")

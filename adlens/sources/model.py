@@ -20,6 +20,7 @@ from dataclasses import dataclass
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from adlens.session import checkpoint_root
 from adlens.sources import schema as S
@@ -27,7 +28,7 @@ from adlens.sources.testdata import derive_model
 
 # Bump when the mapping in ``testdata`` changes: stored tables of an older
 # mapping are then ignored.
-MODEL_VERSION = "6"
+MODEL_VERSION = "7"
 # Driver tables that the model is derived from.
 INPUT_TABLES = ("events", "nation", "region", "customer")
 MODEL_TABLES = ("campaigns", "users", "clicks", "sessions", "conversions", "costs_daily", "cost_feed")
@@ -35,13 +36,9 @@ _SCHEMAS = dict(S.TABLES, cost_feed=S.COST_FEED)
 # Upper bound on rows per written file (a few GB of narrow rows): large slices
 # are split into several files instead of one huge one.
 MAX_RECORDS_PER_FILE = 50_000_000
-# Time-sorted layout: date-range filters skip row groups by statistics.
-_LAYOUT = {
-    "clicks": "click_datetime",
-    "sessions": "session_datetime",
-    "conversions": "conversion_datetime",
-    "costs_daily": "cost_date",
-}
+# Days (range reports prune to their partitions) and, inside them, time order.
+_TIMES = {"clicks": "click_datetime", "sessions": "session_datetime", "conversions": "conversion_datetime"}
+MAX_BUCKETS = 1024
 
 
 @dataclass
@@ -74,6 +71,61 @@ def conform(df: DataFrame, table: str) -> DataFrame:
     return df.select(*[F.col(f.name).cast(f.dataType.simpleString()).alias(f.name) for f in sch.fields])
 
 
+def with_day(df: DataFrame, table: str) -> DataFrame:
+    """A declared table with the day that it is stored under. Clicks and sessions have it in their
+    time; conversions bring their session's (see :func:`conversions_by_day`)."""
+    day = S.DAY_COLUMNS.get(table)
+    if day is None:
+        return conform(df, table)
+    own = F.col(day) if day in df.columns else F.col(_TIMES[table]).cast("date")
+    return df.select(*[F.col(f.name).cast(f.dataType.simpleString()).alias(f.name) for f in _SCHEMAS[table].fields], own.alias(day))
+
+
+def conversions_by_day(conversions: DataFrame, sessions: DataFrame) -> DataFrame:
+    """Conversions with their session's day, for loads that bring none (NULL: no such session).
+    Sessions are unique by id; the conversions of a hot session are split by AQE's skew join."""
+    days = sessions.select("session_id", F.col("session_datetime").cast("date").alias("session_day"))
+    return conversions.join(days, "session_id", "left")
+
+
+def _store(spark: SparkSession, df: DataFrame, name: str, location: str, buckets: int) -> None:
+    """Write one table. Days are rebalanced (a large one is split over tasks, small ones share files); a
+    bucketed table is dealt by its unique key, a file for each day and bucket."""
+    day, key = S.DAY_COLUMNS.get(name), S.BUCKET_KEYS.get(name)
+    df = with_day(df, name)
+    if key and buckets:
+        df = df.repartition(buckets, key).sortWithinPartitions(day, _TIMES[name])
+        df.write.partitionBy(day).bucketBy(buckets, key).mode("errorifexists").option("path", f"{location}/{name}") \
+            .option("maxRecordsPerFile", MAX_RECORDS_PER_FILE).saveAsTable(_table_name(location, name))
+        return
+    if day:
+        df = df.hint("rebalance", day).sortWithinPartitions(day, _TIMES[name])
+    writer = df.write.mode("errorifexists").option("maxRecordsPerFile", MAX_RECORDS_PER_FILE)
+    (writer.partitionBy(day) if day else writer).parquet(f"{location}/{name}")
+
+
+def _table_name(location: str, name: str) -> str:
+    """Bucketing is known to Spark's catalog only, so bucketed tables have an entry there."""
+    return f"adlens_{name}_{hashlib.sha1(location.encode()).hexdigest()[:12]}"
+
+
+def _bucketed(spark: SparkSession, name: str, location: str, buckets: int) -> DataFrame:
+    """The bucketed table, entered in this session's catalog where it isn't yet."""
+    table, day = _table_name(location, name), S.DAY_COLUMNS[name]
+    if not spark.catalog.tableExists(table):
+        cols = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in _SCHEMAS[name].fields)
+        spark.sql(f"CREATE TABLE IF NOT EXISTS {table} ({cols}, {day} date) USING parquet PARTITIONED BY ({day}) "
+                  f"CLUSTERED BY ({S.BUCKET_KEYS[name]}) INTO {buckets} BUCKETS LOCATION '{location}/{name}'")
+        spark.sql(f"MSCK REPAIR TABLE {table}")
+    return spark.table(table)
+
+
+def bucket_count(spark: SparkSession) -> int:
+    """As many buckets as shuffle partitions, so that a shuffled side joins a bucketed one as it is; bounded,
+    as every day has a file for each."""
+    return min(MAX_BUCKETS, int(spark.conf.get("spark.sql.shuffle.partitions")))
+
+
 def _code_fingerprint() -> str:
     """Hash of the code that decides the stored tables' content, so a stored
     model from other mapping code is never picked up."""
@@ -127,58 +179,57 @@ def _find_complete(spark: SparkSession, base: str) -> str | None:
     return rows[0]["location"] if rows else None
 
 
-def _read_stored(spark: SparkSession, location: str) -> Model:
+def _read_stored(spark: SparkSession, location: str, buckets: int) -> Model:
     tables = {}
     for name in MODEL_TABLES:
-        df = spark.read.schema(_SCHEMAS[name]).parquet(f"{location}/{name}")
-        tables[name] = df
+        if buckets and name in S.BUCKET_KEYS:
+            tables[name] = _bucketed(spark, name, location, buckets)
+            continue
+        sch = T.StructType([*_SCHEMAS[name].fields, *([T.StructField(S.DAY_COLUMNS[name], T.DateType())] if name in S.DAY_COLUMNS else [])])
+        tables[name] = spark.read.schema(sch).parquet(f"{location}/{name}")
     return Model(location=location, **tables)
 
 
-def build_model(spark: SparkSession, sf_dir: str, partitions: int | None = None) -> Model:
+def build_model(spark: SparkSession, sf_dir: str) -> Model:
     """Lazy, unstored model (used by tests that compare against stored output)."""
-    derived = derive_model(spark, sf_dir, partitions)
+    derived = derive_model(spark, sf_dir)
     return Model(**{name: conform(derived[name], name) for name in MODEL_TABLES})
 
 
-def load_model(spark: SparkSession, sf_dir: str, store: bool = True) -> Model:
+def load_model(spark: SparkSession, sf_dir: str, store: bool = True, buckets: int | None = None) -> Model:
+    """The stored model of an input folder, written on the first call. ``buckets``: of clicks and
+    sessions (default :func:`bucket_count`; 0: none)."""
+    buckets = bucket_count(spark) if buckets is None else buckets
     stamp = input_stamp(spark, sf_dir)
-    key = (spark.sparkContext.applicationId, sf_dir, stamp, store)
+    key = (spark.sparkContext.applicationId, sf_dir, stamp, store, buckets)
     if key in _CACHE:
         return _CACHE[key]
     if not store:
         model = build_model(spark, sf_dir)
         _CACHE[key] = model
         return model
-    base = f"{checkpoint_root(spark)}/adlens_model/{_model_key(sf_dir, stamp)}"
+    base = f"{checkpoint_root(spark)}/adlens_model/{_model_key(sf_dir, stamp)}-{buckets}"
     location = _find_complete(spark, base)
     reused = location is not None
     if location is None:
         # Each writer uses its own folder, so concurrent builders never
         # overwrite each other; the manifest row is written last.
         location = f"{base}/{uuid.uuid4().hex}"
-        derived = derive_model(spark, sf_dir)
-
-        def write(name: str) -> None:
-            df = conform(derived[name], name)
-            if name in _LAYOUT:
-                # Rows sorted by time inside every file: each row group covers
-                # a narrow time span, so parquet min/max statistics let a
-                # date-range scan skip the others. (Range-repartitioning by
-                # time first would cost a full shuffle per table for little
-                # more: the parquet reader prunes row groups, not files.)
-                df = df.sortWithinPartitions(_LAYOUT[name])
-            df.write.mode("errorifexists").option("maxRecordsPerFile", MAX_RECORDS_PER_FILE) \
-                .parquet(f"{location}/{name}")
 
+        def keep(df: DataFrame) -> DataFrame:
+            """The counted events, written once: four frames start from them."""
+            df.write.parquet(f"{location}/_events")
+            return spark.read.schema(df.schema).parquet(f"{location}/_events")
+
+        derived = derive_model(spark, sf_dir, keep)
         # The seven writes are independent jobs; submitted together they share
         # the executors instead of queueing one after another.
         with ThreadPoolExecutor(max_workers=len(MODEL_TABLES)) as pool:
-            for f in [pool.submit(write, name) for name in MODEL_TABLES]:
+            for f in [pool.submit(_store, spark, derived[name], name, location, buckets) for name in MODEL_TABLES]:
                 f.result()
         spark.createDataFrame([(location, location.rsplit("/", 1)[-1])], "location string, written_by string") \
             .coalesce(1).write.mode("append").parquet(f"{base}/_manifest")
-    model = _read_stored(spark, location)
+    model = _read_stored(spark, location, buckets)
     model.reused = reused
     _CACHE[key] = model
     return model

@@ -93,6 +93,19 @@ PRIMARY_KEYS = {
     "costs_daily": ["cost_date", "campaign_id"],
 }
 
+# Stored fact tables are partitioned by day; a conversion is stored under its *session's* day, the day
+# that reports count it on. The column is part of the stored table, not of the declared model.
+DAY_COLUMNS = {"clicks": "click_day", "sessions": "session_day", "conversions": "session_day"}
+# Unique keys that large stored tables are bucketed on, so that joins on them need no exchange of
+# their rows. (Conversions are not: a session may hold many; they are summed map-side instead.)
+BUCKET_KEYS = {"clicks": "click_id", "sessions": "session_id"}
+
+
+def declared(df, table: str):
+    """The declared columns of a stored table, without its day."""
+    return df.select(*[f.name for f in TABLES[table].fields])
+
+
 # (child table, child column, parent table, parent column)
 FOREIGN_KEYS = [
     ("sessions", "user_id", "users", "user_id"),

@@ -34,6 +34,8 @@ Mapping (``k`` = the integer in ``props``, ``camp = k % 24``,
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -126,13 +128,14 @@ def clicks(ev: DataFrame) -> DataFrame:
     )
 
 
-def sessions_and_conversions(ev: DataFrame, partitions: int | None = None) -> tuple[DataFrame, DataFrame]:
+def sessions_and_conversions(ev: DataFrame, keep: Callable[[DataFrame], DataFrame] = lambda df: df) -> tuple[DataFrame, DataFrame]:
     """Sessions (with click links) and conversions (with session links).
 
     One ordered pass over each user's view / click / conversion events counts
     the views and kept clicks up to every row; the i-th view and i-th click
     then meet on ``(user_id, i)`` and a conversion meets the view numbered
-    "views so far". Both joins are on unique keys, so no user is a hot key.
+    "views so far". Both joins are on unique keys, so no user is a hot key. Four
+    frames start from the counted events; ``keep`` may write them once.
     """
     stream = ev.filter(F.col("event_type").isin("view", "click", "purchase", "signup")).select(
         "user_id", "ts", "event_id", "event_type", "camp", "v",
@@ -140,7 +143,8 @@ def sessions_and_conversions(ev: DataFrame, partitions: int | None = None) -> tu
         _is_kept_click().cast("int").alias("is_click"),
     )
     counted = running_sums(stream, "user_id", ["ts", "event_id"],
-                           {"views_upto": "is_view", "clicks_upto": "is_click"}, partitions)
+                           {"views_upto": "is_view", "clicks_upto": "is_click"})
+    counted = keep(counted)
 
     views = counted.filter(F.col("is_view") == 1).select(
         "user_id", "ts", "event_id", "camp", F.col("views_upto").alias("seq"))
@@ -166,7 +170,8 @@ def sessions_and_conversions(ev: DataFrame, partitions: int | None = None) -> tu
 
     convs = counted.filter(F.col("event_type").isin("purchase", "signup") & (F.col("views_upto") > 0))
     conversions = convs.join(
-        views.select("user_id", F.col("seq").alias("views_upto"), F.col("event_id").alias("session_id")),
+        views.select("user_id", F.col("seq").alias("views_upto"), F.col("event_id").alias("session_id"),
+                     F.col("ts").cast("date").alias("session_day")),
         ["user_id", "views_upto"], "inner",
     ).select(
         F.col("event_id").alias("conversion_id"),
@@ -177,6 +182,7 @@ def sessions_and_conversions(ev: DataFrame, partitions: int | None = None) -> tu
          .otherwise(F.lit("Lead")).alias("conversion_type"),
         F.when(F.col("event_type") == "purchase", F.col("v"))
          .otherwise(F.lit(0).cast(MONEY)).alias("revenue"),
+        "session_day",
     )
     return sessions, conversions
 
@@ -208,11 +214,11 @@ def cost_feed(clk: DataFrame, ev: DataFrame) -> DataFrame:
     return good.unionByName(bad)
 
 
-def derive_model(spark: SparkSession, sf_dir: str, partitions: int | None = None) -> dict[str, DataFrame]:
+def derive_model(spark: SparkSession, sf_dir: str, keep: Callable[[DataFrame], DataFrame] = lambda df: df) -> dict[str, DataFrame]:
     """All model tables (plus the upsert feed) as lazy DataFrames."""
     ev = events(spark, sf_dir)
     clk = clicks(ev)
-    sess, conv = sessions_and_conversions(ev, partitions)
+    sess, conv = sessions_and_conversions(ev, keep)
     return {
         "campaigns": campaigns(spark, sf_dir),
         "users": users(spark, sf_dir, ev),

@@ -166,7 +166,7 @@ def test_same_name_campaigns(m):
 
 
 def test_same_second_sessions_tie_break(m):
-    rows = {r.session_id: r for r in views.sessions_enriched(m.sessions, partitions=3).collect()}
+    rows = {r.session_id: r for r in views.sessions_enriched(m.sessions).collect()}
     assert (rows[5].rn_user_session, rows[6].rn_user_session) == (1, 2)
     trend = {r.session_date.isoformat(): r for r in insights.new_vs_returning(m.sessions, "2024-03-01", "2024-03-31").collect()}
     assert (trend["2024-03-05"].new_user_sessions, trend["2024-03-05"].returning_sessions) == (1, 1)

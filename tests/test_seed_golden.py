@@ -146,7 +146,7 @@ def test_dirty_rows_pass_every_constraint(seed):
 
 
 def test_sessions_enriched_sequence(seed):
-    rows = views.sessions_enriched(seed.sessions, partitions=4).filter("user_id = 1").orderBy("rn_user_session").collect()
+    rows = views.sessions_enriched(seed.sessions).filter("user_id = 1").orderBy("rn_user_session").collect()
     assert [r.session_id for r in rows] == [1, 2, 9, 13, 23, 31]
     assert [r.is_new_user_session for r in rows] == [1, 0, 0, 0, 0, 0]
 

@@ -39,7 +39,7 @@ def test_mapping_is_exact_with_a_hot_user(spark):
     for t in ("nation", "region", "customer"):
         spark.read.parquet(f"{SF_SMALL}/{t}.parquet").write.parquet(f"{root}/{t}.parquet")
 
-    m = build_model(spark, root, partitions=12)
+    m = build_model(spark, root)
     con = duckdb.connect()
     for t in ("events", "nation", "region", "customer"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{root}/{t}.parquet/*.parquet')")

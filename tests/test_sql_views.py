@@ -45,7 +45,7 @@ def test_model_follows_a_replaced_input(spark, tmp_path):
     folder = tmp_path / "data"
     folder.mkdir()
     for name in M.INPUT_TABLES:
-        shutil.copy(f"{SF_SMALL}/{name}.parquet", folder / f"{name}.parquet")
+        shutil.copyfile(f"{SF_SMALL}/{name}.parquet", folder / f"{name}.parquet")
     whole = load_model(spark, str(folder)).sessions.count()
     half = spark.read.parquet(f"{SF_SMALL}/events.parquet").toPandas().iloc[::2]
     half.to_parquet(folder / "events.parquet", index=False, coerce_timestamps="us")
