@@ -17,6 +17,9 @@ from adlens.sources import schema as S
 
 
 
+SALT, SALTS = "_salt", 64
+
+
 def _summary(rows: list[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, rows)
 
@@ -32,9 +35,30 @@ def pk_violations(df: DataFrame, key: list[str]) -> DataFrame:
 
 
 def fk_violations(child: DataFrame, col: str, parent: DataFrame, parent_col: str) -> DataFrame:
-    """Child rows whose non-NULL ``col`` has no parent."""
-    p = parent.select(F.col(parent_col).alias(col))
-    return child.filter(F.col(col).isNotNull()).join(p, col, "left_anti")
+    """Child rows whose non-NULL ``col`` has no parent.
+
+    Keys are reduced to distinct ones, map-side, before they meet the parents. The
+    missing ones, few in a sound load, then find their rows: by broadcast where AQE measures them
+    small, else by a join in which a key is dealt to ``SALTS`` tasks, so a missing key that
+    a third of the rows hold is no hot task either."""
+    missing = missing_keys(child, col, parent, parent_col)
+    return salted(child.filter(F.col(col).isNotNull())).join(spread(missing), [col, SALT], "left_semi").drop(SALT)
+
+
+def missing_keys(child: DataFrame, col: str, parent: DataFrame, parent_col: str) -> DataFrame:
+    """Distinct non-NULL values of ``child.col`` that are no ``parent.parent_col``."""
+    keys = child.filter(F.col(col).isNotNull()).select(col).distinct()
+    return keys.join(parent.select(F.col(parent_col).alias(col)), col, "left_anti")
+
+
+def salted(rows: DataFrame) -> DataFrame:
+    """Rows with a salt that depends on nothing but their content."""
+    return rows.withColumn(SALT, F.pmod(F.xxhash64(*rows.columns), F.lit(SALTS)).cast("int"))
+
+
+def spread(keys: DataFrame) -> DataFrame:
+    """Every key under each salt."""
+    return keys.select("*", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias(SALT))
 
 
 def check_conditions() -> dict[str, list[tuple[str, object]]]:

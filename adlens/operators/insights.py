@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from adlens.functions.dates import date_bounds, day_of, in_range, on_days
-from adlens.functions.labels import one_spelling
+from adlens.functions.labels import label_key, one_spelling
 from adlens.functions.ratios import ratio, ratio_or_0, zero_if_null
 from adlens.operators.facts import (daily_clicks, first_sessions, money_sum, money_total,
                                     session_facts)
@@ -20,12 +20,14 @@ from adlens.sources.schema import ORPHAN_LABEL
 
 
 def traffic_by_campaign(campaigns: DataFrame, sessions: DataFrame) -> DataFrame:
-    """Q1 - sessions per (campaign_name, channel), idle campaigns with 0."""
+    """Q1 - sessions per (campaign_name, channel), idle campaigns with 0. Spellings that differ in case or
+    trailing blanks are one group, as in the warehouse's collation; rows are per campaign by then."""
     per = sessions.groupBy("campaign_id").agg(F.count("session_id").alias("n"))
     j = campaigns.join(per, "campaign_id", "left")
-    return (j.groupBy("campaign_name", "channel")
-             .agg(zero_if_null(F.sum("n")).alias("sessions"))
-             .orderBy(F.desc("sessions"), "campaign_name", "channel"))
+    by = [label_key("campaign_name").alias("_name"), label_key("channel").alias("_channel")]
+    return (j.groupBy(*by).agg(F.min("campaign_name").alias("campaign_name"), F.min("channel").alias("channel"),
+                               zero_if_null(F.sum("n")).alias("sessions"))
+             .drop("_name", "_channel").orderBy(F.desc("sessions"), "campaign_name", "channel"))
 
 
 def conversions_revenue_by_campaign(campaigns: DataFrame, sessions: DataFrame,
@@ -38,11 +40,12 @@ def conversions_revenue_by_campaign(campaigns: DataFrame, sessions: DataFrame,
     per = facts.groupBy("campaign_id").agg(
         F.count("session_id").alias("s"), F.sum("conversions").alias("c"), money_sum("revenue").alias("r"))
     j = campaigns.join(per, "campaign_id", "left")
-    return (j.groupBy("campaign_name").agg(
+    return (j.groupBy(label_key("campaign_name").alias("_name")).agg(
+                F.min("campaign_name").alias("campaign_name"),
                 zero_if_null(F.sum("s")).alias("sessions"),
                 zero_if_null(F.sum("c")).alias("conversions"),
                 money_total("r").alias("revenue"))
-             .orderBy(F.desc("revenue"), F.desc("conversions"), F.desc("sessions"), "campaign_name"))
+             .drop("_name").orderBy(F.desc("revenue"), F.desc("conversions"), F.desc("sessions"), "campaign_name"))
 
 
 def kpi_snapshot(campaigns: DataFrame, clicks: DataFrame, sessions: DataFrame,
@@ -95,9 +98,9 @@ def click_day_kpis(campaigns: DataFrame, clicks: DataFrame, sessions: DataFrame,
 
 def conversion_mix(conversions: DataFrame) -> DataFrame:
     """Q5 - conversions and revenue per conversion_type."""
-    return (conversions.groupBy("conversion_type")
-            .agg(F.count(F.lit(1)).alias("conversions"), money_total("revenue").alias("revenue"))
-            .orderBy(F.desc("conversions"), F.desc("revenue"), "conversion_type"))
+    per = conversions.groupBy("conversion_type").agg(F.count(F.lit(1)).alias("conversions"), money_sum("revenue").alias("revenue"))
+    return (one_spelling(per, [], "conversion_type", [F.sum("conversions").alias("conversions"), money_total("revenue").alias("revenue")])
+            .select("conversion_type", "conversions", "revenue").orderBy(F.desc("conversions"), F.desc("revenue"), "conversion_type"))
 
 
 def new_vs_returning(sessions: DataFrame, start_date, end_date) -> DataFrame:

@@ -15,11 +15,11 @@ from pyspark.sql import functions as F
 
 from adlens.functions.dates import activity_calendar, day_of, in_range
 from adlens.functions.ratios import ratio, ratio_or_0
-from adlens.operators import audits, cohorts, facts, insights, reports, upsert, views
+from adlens.operators import audits, cohorts, distincts, facts, insights, reports, upsert, views
 from adlens.operators.keys import surrogate_keys
 from adlens.operators.topk import top_n
 from adlens.sources import schema as S
-from adlens.sources.loaders import normalise_label, with_defaults
+from adlens.sources.loaders import normalise_label, tagged_load, with_defaults
 from adlens.sources.model import Model, load_model
 
 # Defaults inside the test data's month (the warehouse's demo ranges are in
@@ -166,6 +166,36 @@ def _q11(m):
     return insights.device_kpis(m.campaigns, m.clicks, m.sessions, m.conversions)
 
 
+def _respelled(m: Model) -> tuple[DataFrame, DataFrame]:
+    """Campaigns and conversions whose labels come in several spellings: campaigns named after their
+    channel, and names, channels and types as stored, in capitals or in small letters with blanks behind, by id."""
+    def spelled(label: str, id_: Column) -> Column:
+        c = F.col(label)
+        return F.when(id_ % 3 == 0, c).when(id_ % 3 == 1, F.upper(c)).otherwise(F.concat(F.lower(c), F.lit("  ")))
+
+    k = F.col("campaign_id")
+    campaigns = m.campaigns.select("campaign_id", spelled("channel", k).alias("campaign_name"), spelled("channel", F.floor(k / 2)).alias("channel"))
+    return campaigns, m.conversions.withColumn("conversion_type", spelled("conversion_type", F.col("conversion_id")))
+
+
+@query("q01_traffic_spellings")
+def _q1_spelled(m):
+    """Q1 over labels in several spellings."""
+    return insights.traffic_by_campaign(_respelled(m)[0], m.sessions)
+
+
+@query("q02_conversions_revenue_spellings")
+def _q2_spelled(m):
+    """Q2 over labels in several spellings."""
+    return insights.conversions_revenue_by_campaign(_respelled(m)[0], m.sessions, m.conversions)
+
+
+@query("q05_conversion_mix_spellings")
+def _q5_spelled(m):
+    """Q5 over labels in several spellings."""
+    return insights.conversion_mix(_respelled(m)[1])
+
+
 # -- cohort analysis ---------------------------------------------------------
 
 @query("c01_cohort_lift")
@@ -204,7 +234,19 @@ def _m1_audit(m):
 @query("cost_feed_rejects")
 def _m1_rejects(m):
     """M1 - rejected feed rows with the first failing check."""
-    return upsert.feed_rejects(m.cost_feed, m.campaigns)
+    return _upsert(m).rejects
+
+
+@query("cost_feed_conflicts")
+def _m1_conflicts(m):
+    """M1 - a feed that names keys again: the keys of the last five of a month are fed twice, some with
+    another cost; none of their rows is applied."""
+    again = m.cost_feed.filter(F.dayofmonth("cost_date") > 25)
+    twice = again.withColumn("cost", F.col("cost") + F.pmod("campaign_id", F.lit(2)))
+    got = upsert.upsert_costs_daily(m.costs_daily, m.cost_feed.unionByName(twice), m.campaigns)
+    kept = got.table.groupBy("cost_date").agg(F.count(F.lit(1)).alias("table_rows"), facts.money_sum("cost").alias("table_cost"))
+    found = got.conflicts.groupBy("cost_date").agg(F.sum("rows").alias("conflict_rows"), F.count(F.lit(1)).alias("conflict_costs"))
+    return kept.join(found, "cost_date", "full_outer")
 
 
 # -- audits ------------------------------------------------------------------
@@ -364,6 +406,32 @@ def _s5(m):
     return with_defaults(feed, "sessions").groupBy("device").agg(F.count(F.lit(1)).alias("sessions"))
 
 
+def _routed(load: str, tagged: DataFrame, money: str | None) -> DataFrame:
+    """Rows and money of a load by the constraints that they fail ('': accepted)."""
+    total = facts.money_sum(money) if money else F.lit(None).cast(S.MONEY_SUM_DDL)
+    return tagged.groupBy(F.array_join("failed", "+").alias("failed")).agg(F.count(F.lit(1)).alias("rows"), total.alias("money")) \
+        .select(F.lit(load).alias("load"), "failed", "rows", "money")
+
+
+@query("load_routing")
+def _s2_routing(m):
+    """S2 - loads with violations of every constraint, routed in one pass by what each row fails."""
+    dirty, clean = _dirty_tables(m), _tables(m)
+    return reduce(DataFrame.unionByName, [
+        _routed(name, tagged_load(S.declared(dirty[name], name), name, clean), money)
+        for name, money in (("users", None), ("clicks", "cost"), ("sessions", None), ("conversions", "revenue"), ("costs_daily", "cost"))])
+
+
+@query("load_money_defaults")
+def _s5_money(m):
+    """S5 - loads without their money or device column: defaults first, then the constraints."""
+    parents = _tables(m)
+    loads = {"conversions": "revenue", "costs_daily": "cost", "sessions": "device"}
+    return reduce(DataFrame.unionByName, [
+        _routed(name, tagged_load(S.declared(m.table(name), name).drop(col), name, parents), col if col != "device" else None)
+        for name, col in loads.items()])
+
+
 @query("device_normalised")
 def _p10(m):
     """P10 - sessions per case/space-insensitive device label."""
@@ -516,6 +584,18 @@ def _g4(m):
         F.count("session_id").alias("sessions"), F.sum("converted").alias("converted_sessions"))
 
 
+@query("agg_distinct_rollup")
+def _g3_rollup(m):
+    """G3 - exact distinct users by day, by campaign and overall, from one aggregate of bitmaps."""
+    maps = distincts.id_bitmaps(m.sessions, [day_of("session_datetime").alias("session_date"), "campaign_id"], "user_id")
+    grains = {"day": ["session_date"], "campaign": ["campaign_id"], "all": []}
+    return reduce(DataFrame.unionByName, [
+        distincts.distinct_ids(maps, keys, "users").select(
+            F.lit(grain).alias("grain"),
+            *[(F.col(c) if c in keys else F.lit(None)).cast(kind).alias(c) for c, kind in (("session_date", "date"), ("campaign_id", "int"))],
+            "users") for grain, keys in grains.items()])
+
+
 @query("first_conversion_per_session")
 def _g6(m):
     """G6 - first conversion id of every session that converted."""

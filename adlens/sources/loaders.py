@@ -67,6 +67,47 @@ def refresh_table(df: DataFrame, table: str, location: str) -> None:
     with_defaults(df, table).write.mode("errorifexists").parquet(location)
 
 
+def tagged_load(df: DataFrame, table: str, parents: dict[str, DataFrame]) -> DataFrame:
+    """The rows of a load with ``failed``, the array of constraints that each breaks: defaults of
+    absent columns first, then NOT NULL, CHECK, foreign keys (to ``parents``, by table; tables that aren't
+    given are not checked) and the primary key, all rows of a repeated key.
+
+    Missing and repeated keys are found on distinct keys, map-side first, and meet their rows
+    under a salt: neither a hot parent nor a key that a load repeats without end is one task."""
+    from adlens.operators import audits
+
+    rows = with_defaults(df, table)
+    key = S.PRIMARY_KEYS[table]
+    named = [(f"nn_{c}", F.col(c).isNull()) for c in S.not_null_columns(table)]
+    named += [(name, ~F.coalesce(ok, F.lit(True))) for name, ok in audits.check_conditions().get(table, [])]
+    whole = audits.salted(rows)
+
+    def flag(name: str, cols: list[str], keys: DataFrame) -> None:
+        nonlocal whole
+        hit = f"_{name}"
+        whole = whole.join(audits.spread(keys.select(*cols, F.lit(True).alias(hit))), [*cols, audits.SALT], "left")
+        named.append((name, F.col(hit).isNotNull()))
+
+    for child, col, parent, parent_col in S.FOREIGN_KEYS:
+        if child == table and parent in parents:
+            flag(f"fk_{col}_{parent}", [col], audits.missing_keys(rows, col, parents[parent], parent_col))
+    flag("pk_" + "_".join(key), key, audits.pk_violations(rows.dropna(subset=key), key))
+    failed = F.array_compact(F.array(*[F.when(bad, F.lit(name)) for name, bad in named]))
+    return whole.select(*[f.name for f in S.TABLES[table].fields], failed.alias("failed"))
+
+
+def load_checked(df: DataFrame, table: str, parents: dict[str, DataFrame], location: str) -> tuple[DataFrame, DataFrame]:
+    """Route a load: (accepted, rejected) rows, written by one job to ``location`` (a new folder). Rejected
+    rows keep ``failed``; accepted ones are the typed table, read with its declared schema."""
+    from pyspark.sql import types as T
+
+    tagged_load(df, table, parents).withColumn("accepted", F.size("failed") == 0) \
+        .write.mode("errorifexists").partitionBy("accepted").parquet(location)
+    sch = T.StructType([*S.TABLES[table].fields, T.StructField("failed", T.ArrayType(T.StringType())), T.StructField("accepted", T.BooleanType())])
+    rows = df.sparkSession.read.schema(sch).parquet(location)
+    return S.declared(rows.filter("accepted"), table), rows.filter("NOT accepted").drop("accepted")
+
+
 def case_insensitive(col: str | Column, collation: str = "UNICODE_CI_RTRIM") -> Column:
     """The column under a case- and trailing-space-insensitive collation:
     grouping, joining and comparing then treat 'Mobile', 'MOBILE' and

@@ -205,9 +205,14 @@ def test_rejects_first_failing_check_wins(spark, m):
 
 def test_duplicate_feed_key_refused(spark, m):
     d = D("2024-03-01")
-    feed = spark.createDataFrame([(d, 1, Dec("1.00")), (d, 1, Dec("2.00"))], COST_FEED)
+    feed = spark.createDataFrame([(d, 1, Dec("1.00")), (d, 1, Dec("2.00")), (d, 1, Dec("2.00")), (d, 2, Dec("3.00"))], COST_FEED)
+    res = upsert.upsert_costs_daily(m.costs_daily, feed, m.campaigns)
+    assert sorted(map(tuple, res.conflicts.collect())) == [(d, 1, Dec("1.00"), 1), (d, 1, Dec("2.00"), 2)]
+    # no row of the key is applied, its target row stays; other keys are
+    before = {(r.cost_date, r.campaign_id): r.cost for r in m.costs_daily.collect()}
+    assert {(r.cost_date, r.campaign_id): r.cost for r in res.table.collect()} == before | {(d, 2): Dec("3.00")}
     with pytest.raises(upsert.UpsertConflict):
-        upsert.upsert_costs_daily(m.costs_daily, feed, m.campaigns)
+        upsert.write_upsert(res, "/nowhere/at/all")
 
 
 def test_upsert_twice_is_stable_and_logs_updates(spark, m):
