@@ -42,7 +42,7 @@ def fk_violations(child: DataFrame, col: str, parent: DataFrame, parent_col: str
     small, else by a join in which a key is dealt to ``SALTS`` tasks, so a missing key that
     a third of the rows hold is no hot task either."""
     missing = missing_keys(child, col, parent, parent_col)
-    return salted(child.filter(F.col(col).isNotNull())).join(spread(missing), [col, SALT], "left_semi").drop(SALT)
+    return salted(child.filter(F.col(col).isNotNull())).join(spread(missing), [col, SALT], "left_semi").select(*child.columns)
 
 
 def missing_keys(child: DataFrame, col: str, parent: DataFrame, parent_col: str) -> DataFrame:
