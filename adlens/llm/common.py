@@ -7,9 +7,13 @@ returns a DataFrame. A result column replaces an input column of the same name
 
 from __future__ import annotations
 
+import ctypes
+import gc
+import sys
 import uuid
 from collections.abc import Iterable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -54,6 +58,22 @@ def dropped(df: DataFrame) -> None:
             path.getFileSystem(conf).delete(path, True)
 
 
+def small_batches(spark: SparkSession, size: int = 4 << 20) -> None:
+    """Bound the bytes of the Arrow batches that Python workers are handed (a batch is 10,000
+    rows otherwise, whatever these hold), unless the session was configured with a bound of its own."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if spark.sparkContext.getConf().get(key, None) is None:
+        spark.conf.set(key, str(size))
+
+
+def released() -> None:
+    """Give a worker's freed memory back: it stays alive beside the JVM between tasks."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    if sys.platform == "linux":
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def without(df: DataFrame, names: Iterable[str]) -> list[str]:
     """Columns of ``df`` that do not clash with ``names``."""
     gone = {n.lower() for n in names}
@@ -79,6 +99,7 @@ def slices(batches: Iterator, rows: int = 500) -> Iterator:
         n = len(batch[0]) if isinstance(batch, tuple) else len(batch)
         for k in range(0, n, rows):
             yield tuple(a.slice(k, rows) for a in batch) if isinstance(batch, tuple) else batch.slice(k, rows)
+    released()
 
 
 def fold(doc_id: str) -> Column:

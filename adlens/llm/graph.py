@@ -1,38 +1,54 @@
-"""Connected components of an edge list, by contraction."""
+"""Connected components of an edge list, by contraction along scrambled ids."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from adlens.llm.common import stored
+from adlens.llm.common import dropped, stored
+
+JUMPS = 3     # pointer doublings within a round: paths of 2**JUMPS steps are walked at once
+
+
+def scrambled(node: Column) -> Column:
+    """A one-to-one map of long ids that keeps nothing of their order (three Feistel rounds of 32-bit halves)."""
+    low = F.lit(0xFFFFFFFF)
+    left, right = F.shiftrightunsigned(node, 32), node.bitwiseAND(low)
+    for k in range(3):
+        left, right = right, left.bitwiseXOR(F.hash(right, F.lit(k)).cast("long").bitwiseAND(low))
+    return F.shiftleft(left, 32).bitwiseOR(right)
 
 
 def components(edges: DataFrame) -> DataFrame:
     """(node, component): the smallest node reachable, for nodes that have an edge.
 
-    ``edges``: long columns u, v. Each round maps every node to the smallest of
-    itself and its neighbours and contracts the graph along that map; the
-    smallest node of a component always stays, so it is the one left over.
-    Rounds are written to the shared folder (cutting the lineage) and composed
-    backwards. A hot node costs one aggregated row a task, no group is collected.
+    ``edges``: long columns u, v. A round points every node to the smallest scrambled id among
+    itself and its neighbours, follows the pointers ``2**JUMPS`` steps, and contracts the graph
+    along them. In scrambled order few nodes of a chain are smaller than both
+    neighbours, however its ids run, so the number of rounds grows with the logarithm of the
+    graph's size. Each node's stand is carried along, written every round (the lineage ends there), so no
+    plan grows with the rounds. A hot node costs one aggregated row a task; no group is collected.
     """
-    graph = stored(edges.filter("u <> v").select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v"))
-                   .distinct(), "edges")
-    maps = []
+    pairs = edges.filter("u <> v").select("u", "v")
+    named = stored(pairs.select(F.col("u").alias("node")).unionByName(pairs.select(F.col("v").alias("node"))).distinct()
+                   .select("node", scrambled(F.col("node")).alias("at")), "nodes")
+    low, high = F.least("a", "b").alias("u"), F.greatest("a", "b").alias("v")
+    graph = stored(pairs.select(scrambled(F.col("u")).alias("a"), scrambled(F.col("v")).alias("b")).select(low, high).distinct(), "edges")
     while not graph.isEmpty():
         both = graph.unionByName(graph.select(F.col("v").alias("u"), F.col("u").alias("v")))
         to = stored(both.groupBy("u").agg(F.least(F.col("u"), F.min("v")).alias("m")), "map")
-        maps.append(to)
-        left = to.select(F.col("u"), F.col("m").alias("mu"))
-        right = to.select(F.col("u").alias("v"), F.col("m").alias("mv"))
-        moved = graph.join(left, "u").join(right, "v").filter("mu <> mv")
-        graph = stored(moved.select(F.least("mu", "mv").alias("u"), F.greatest("mu", "mv").alias("v")).distinct(), "edges")
-    if not maps:
-        return graph.select(F.col("u").alias("node"), F.col("u").alias("component"))
-    out = maps[-1].select(F.col("u").alias("node"), F.col("m").alias("component"))
-    for to in reversed(maps[:-1]):
-        further = out.select(F.col("node").alias("m"), "component")
-        out = to.join(further, "m", "left").select(F.col("u").alias("node"),
-                                                   F.coalesce("component", "m").alias("component"))
-    return stored(out, "components")
+        for _ in range(JUMPS):
+            further = to.select(F.col("u").alias("m"), F.col("m").alias("next"))
+            old, to = to, stored(to.join(further, "m").select("u", F.col("next").alias("m")), "map")
+            dropped(old)
+        left, right = to.select("u", F.col("m").alias("a")), to.select(F.col("u").alias("v"), F.col("m").alias("b"))
+        old = graph
+        graph = stored(graph.join(left, "u").join(right, "v").filter("a <> b").select(low, high).distinct(), "edges")
+        dropped(old)
+        old = named
+        named = stored(named.join(to.select(F.col("u").alias("at"), "m"), "at", "left")
+                       .select("node", F.coalesce("m", "at").alias("at")), "nodes")
+        dropped(old)
+        dropped(to)
+    least = named.groupBy("at").agg(F.min("node").alias("component"))
+    return stored(named.join(least, "at").select("node", "component"), "components")

@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from adlens.llm import ball_codes, decontaminate, html_text, langid, license_rules, pieces, quality, shingle_join, token_ids, token_links, toxicity, vector_join, warc
-from adlens.llm.common import fold, table
+from adlens.llm.common import fold, small_batches, table
 
 
 def _tokenizer(name: str) -> str:
@@ -97,7 +98,16 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     own = (op1_decontaminate, op2_near_vectors, op3_toxicity, op4_token_ids, op5_html_text, op6_shingle_join, op7_warc,
            op8_quality, op9_pieces, op10_language, op11_vector_codes, op12_license_scan, op13_token_links, pipeline)
-    return {f.__name__: f for f in own}
+    return {f.__name__: _bounded(f) for f in own}
+
+
+def _bounded(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
+    @functools.wraps(query)
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        small_batches(spark)
+        return query(spark, sf_dir)
+
+    return run
 
 
 # DuckDB statements. The models' and tokenizers' queries have none.

@@ -24,7 +24,7 @@ are counted pair by pair, as each vector's number of links asks for (the README
 has the figures).
 
 Defined results: NULL, zero, empty and non-finite vectors link with nothing (0
-links, own component); rows of one id and direction count as separate vectors;
+links, own component); every row is a vector of its own, with its own links, whatever other rows have its id;
 a NULL id links nothing; an empty table gives no rows.
 """
 
@@ -155,37 +155,42 @@ def _cosine(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
 
 
 def near_vectors(vectors: DataFrame, cosine: float = 0.9, vec_id: str = "vec_id", embedding: str = "embedding"):
-    """(classes, links): ``classes`` (vec_id, rep, weight) for linkable vectors,
-    ``links`` (a, b, cosine) between class representatives, a < b."""
-    rows = vectors.select(F.col(quoted(vec_id)).cast("long").alias("vec_id"), _direction(F.col(quoted(embedding))).alias("unit"))
-    units = stored(rows.filter("unit IS NOT NULL AND vec_id IS NOT NULL"), "units")
-    firsts = stored(units.groupBy("unit").agg(F.min("vec_id").alias("rep"), F.count("*").alias("weight")), "directions")
+    """(rows, links). ``rows``: (vec_id, dir, weight) of every input row; ``dir`` numbers the directions (NULL: links
+    with nothing) and ``weight`` counts a direction's rows. ``links``: (a, b, cosine) between directions, a < b."""
+    raw = stored(vectors.select(F.col(quoted(vec_id)).cast("long").alias("vec_id"), _direction(F.col(quoted(embedding))).alias("unit"))
+                 .select("vec_id", F.when(F.col("vec_id").isNotNull(), F.col("unit")).alias("unit")), "units")
+    # Numbers are given when the table is written, and stand as written.
+    firsts = stored(raw.filter("unit IS NOT NULL").groupBy("unit").agg(F.count("*").alias("weight"))
+                    .select(F.monotonically_increasing_id().alias("dir"), "unit", "weight"), "directions")
     k, lists = calibrate(firsts.count(), cosine)
-    spread = firsts.select("rep", "unit").mapInArrow(_project(k, lists), "place long, size int, value double, id long")
+    spread = firsts.select("dir", "unit").mapInArrow(_project(k, lists), "place long, size int, value double, id long")
     counts = (spread.repartition("place", "size").sortWithinPartitions("place", "size", "value", "id")
               .mapInArrow(_window, "a long, b long, n long")
               .groupBy("a", "b").agg(F.sum("n").alias("n")).filter(F.col("n") >= COLLISIONS).filter("a <> b"))
-    left = firsts.select(F.col("rep").alias("a"), F.col("unit").alias("ua"))
-    right = firsts.select(F.col("rep").alias("b"), F.col("unit").alias("ub"))
+    left = firsts.select(F.col("dir").alias("a"), F.col("unit").alias("ua"))
+    right = firsts.select(F.col("dir").alias("b"), F.col("unit").alias("ub"))
     links = counts.join(left, "a").join(right, "b").select("a", "b", _cosine("ua", "ub").alias("cosine")) \
         .filter(F.col("cosine") >= cosine)
-    classes = units.join(firsts, "unit").select("vec_id", "rep", "weight")
-    return classes, stored(links, "links")
+    known = raw.filter("unit IS NOT NULL").join(firsts, "unit").select("vec_id", "dir", "weight")
+    rows = known.unionByName(raw.filter("unit IS NULL").select("vec_id", F.lit(None).cast("long").alias("dir"), F.lit(None).cast("long").alias("weight")))
+    return rows, stored(links, "links")
 
 
 def link_report(vectors: DataFrame, cosine: float = 0.9, vec_id: str = "vec_id", embedding: str = "embedding") -> DataFrame:
     """(vec_id, n_links, component_id, kept) of every row."""
-    classes, links = near_vectors(vectors, cosine, vec_id, embedding)
-    weights = classes.select("rep", "weight").distinct()
+    rows, links = near_vectors(vectors, cosine, vec_id, embedding)
+    rows = stored(rows, "rows")
+    linkable = rows.filter("dir IS NOT NULL")
+    dirs = linkable.groupBy("dir").agg(F.max("weight").alias("weight"), F.min("vec_id").alias("least"))
     ends = links.select("a", "b").unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    degree = ends.join(weights.withColumnRenamed("rep", "b"), "b").groupBy("a").agg(F.sum("weight").alias("others"))
+    degree = ends.join(dirs.select(F.col("dir").alias("b"), "weight"), "b").groupBy("a").agg(F.sum("weight").alias("others"))
     group = components(links.select(F.col("a").alias("u"), F.col("b").alias("v")))
-    facts = (weights.join(degree, F.col("rep") == F.col("a"), "left").join(group, F.col("rep") == F.col("node"), "left")
-             .select("rep", (F.col("weight") - 1 + F.coalesce("others", F.lit(0))).alias("n_links"),
-                     F.coalesce("component", "rep").alias("component_id")))
-    known = classes.select("vec_id", "rep").distinct().join(facts, "rep").select(F.col("vec_id").alias("_id"), "n_links", "component_id")
-    rows = vectors.select(F.col(quoted(vec_id)).cast("long").alias("vec_id"))
-    out = rows.join(known, F.col("vec_id") == F.col("_id"), "left").select(
-        "vec_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
-        F.coalesce("component_id", "vec_id").alias("component_id"))
-    return out.withColumn("kept", F.col("vec_id").eqNullSafe(F.col("component_id")))
+    facts = (dirs.join(degree, F.col("dir") == F.col("a"), "left").join(group, F.col("dir") == F.col("node"), "left")
+             .select("dir", "least", (F.col("weight") - 1 + F.coalesce("others", F.lit(0))).alias("n_links"),
+                     F.coalesce("component", "dir").alias("comp")))
+    facts = stored(facts, "facts")
+    smallest = facts.groupBy("comp").agg(F.min("least").alias("component_id"))
+    known = facts.join(smallest, "comp").select("dir", "n_links", "component_id")
+    got = linkable.join(known, "dir").select("vec_id", "n_links", "component_id").unionByName(
+        rows.filter("dir IS NULL").select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id")))
+    return got.withColumn("kept", F.col("vec_id").eqNullSafe(F.col("component_id")))

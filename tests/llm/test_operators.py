@@ -177,7 +177,7 @@ def test_collision_threshold_reaches_its_recall():
 def test_vector_lists_beyond_128_and_lengths_keep_apart():
     def projected(lists, rows):
         units = pa.RecordBatch.from_arrays(
-            [pa.array(range(len(rows))), pa.array([np.array(x, "<f8").tobytes() for x in rows])], names=["rep", "unit"])
+            [pa.array(range(len(rows))), pa.array([np.array(x, "<f8").tobytes() for x in rows])], names=["dir", "unit"])
         got = pa.Table.from_batches(list(vector_join._project(2, lists)(iter([units]))))
         return got.sort_by([(c, "ascending") for c in got.column_names])
 
@@ -216,11 +216,54 @@ def test_co_training_exchanges_labels():
     rng = np.random.default_rng(0)
     y = rng.integers(0, 2, 400).astype(float)
     a, b = y[:, None] + 0.3 * rng.standard_normal((400, 3)), y[:, None] + 0.4 * rng.standard_normal((400, 2))
-    model = quality.co_train([a[:80], b[:80]], y[:80], [a[80:], b[80:]], confident=0.9)
-    assert model.exchanged > 0
+    taken = [np.empty(0, int), np.empty(0, int)]
+
+    def draw(views):
+        out = [([], []), ([], [])]
+        for view, mark, rows in quality.confident_rows(views, [a[80:], b[80:]], np.arange(320), taken, 0.9):
+            out[view][0].append((a, b)[view][80:][rows])
+            out[view][1].append(np.full(len(rows), float(mark)))
+            taken[view] = np.concatenate([taken[view], rows])
+        return [(np.vstack(x), np.concatenate(m)) for x, m in out]
+
+    model = quality.co_train([a[:80], b[:80]], y[:80], draw)
+    assert model.exchanged > 0 and all(len(set(t)) == len(t) for t in taken)
     assert ((model.score([a, b]) >= 0.5) == (y == 1)).mean() > 0.95
 
 
+def test_exchange_draws_from_the_whole_fold(spark):
+    """The drawn rows equal a plain choice over all rows: the smallest hashes of each view, class and stratum."""
+    rng = np.random.default_rng(1)
+    x = rng.standard_normal((3000, 4)).astype("<f4")
+    h, stratum = rng.integers(-2**62, 2**62, 3000), rng.integers(0, 5, 3000)
+    y = (x[:, 0] + x[:, 2] > 0).astype(float)
+    views = []
+    for part in (x[:200, :2].astype(float), x[:200, 2:].astype(float)):
+        trees = quality.fit_trees(part, y[:200], rounds=10)
+        views.append(quality.View(trees, quality.fit_isotonic(trees.raw(part), y[:200])))
+    df = spark.createDataFrame([(int(a), int(b), c.tobytes()) for a, b, c in zip(h, stratum, x, strict=True)], "h long, stratum int, x binary")
+    pool = quality._Pool(df.repartition(7), 2, 16 * 3, 0.8)
+    gone = [set(), set()]
+    for _ in range(2):
+        got = pool.draw(views)
+        for view in range(2):
+            want = []
+            prob = views[1 - view].probability([x[:, :2], x[:, 2:]][1 - view].astype(float))
+            for mark, sure in ((1.0, prob), (0.0, 1 - prob)):
+                for s in range(5):
+                    rows = [j for j in range(3000) if stratum[j] == s and sure[j] >= 0.8 and h[j] not in gone[view]]
+                    want += [(h[j], mark) for j in sorted(rows, key=lambda j: h[j])[:3]]
+            gone[view] |= {i for i, _ in want}
+            assert got[view][1].tolist() == [m for _, m in sorted(want)]
+
+
+def test_quality_of_tied_and_contradicting_labels(spark):
+    docs = docs_frame(spark, [(k, "the same text") for k in range(40)])
+    labels = spark.createDataFrame([(k % 40, k % 2) for k in range(80)], "doc_id long, quality int")
+    got = [r["quality_score"] for r in quality.score(docs, quality.train_model(docs, labels)).collect()]
+    assert len(got) == 40 and all(0 <= v <= 1 for v in got) and len(set(got)) == 1
+
+
 # --- 4 ---------------------------------------------------------------------
 
 def test_token_ids_equal_the_library(spark, edge):
