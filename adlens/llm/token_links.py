@@ -51,24 +51,25 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from adlens.llm.common import quoted, stored
+from adlens.llm.common import quoted, released, stored
+from adlens.llm.token_ids import PieceCache
 
 RADICES = 64
 FAN_IN = 256               # runs merged at a time
 RUN_LINKS = 3_000_000      # links a run holds, about
 RUN_DOCS = 1 << 17
-UNITS = 200_000            # units remembered a worker
+UNITS = 300_000            # units remembered a worker
 BATCH_BYTES = 2 << 20      # text worked on at a time
 
 _CUT = re.compile(r"(?<=\S)(?= \S)")
 
 
-def _vocabulary_a(tok) -> list[bytes | None]:
+def _vocabulary_a(tok) -> list[bytes]:
     """Bytes of each id of a byte-level tokenizer."""
     plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
     chars = {chr(b): b for b in plain} | {chr(256 + k): b for k, b in enumerate(sorted(set(range(256)) - set(plain)))}
     vocab = tok.get_vocab()
-    out: list[bytes | None] = [None] * (max(vocab.values(), default=-1) + 1)
+    out = [b""] * (max(vocab.values(), default=-1) + 1)
     for piece, i in vocab.items():
         out[i] = bytes([chars[c] for c in piece]) if all(c in chars for c in piece) else piece.encode("utf-8")
     return out
@@ -92,58 +93,121 @@ def align(len_a: np.ndarray, len_b: np.ndarray) -> tuple[np.ndarray, np.ndarray,
     return a, b, (ends_a[a] == ends) & (ends_b[b] == ends)
 
 
+def _digits(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Decimal digits of 0 ... n - 1, a row each with room for a mark behind, and their numbers."""
+    text = [str(i).encode() for i in range(n)]
+    size = np.array([len(t) for t in text], np.int64)
+    width = int(size.max(initial=1)) + 1
+    return np.frombuffer(b"".join([t.ljust(width, b"\0") for t in text]), np.uint8).reshape(n, width), size
+
+
+class _Flat:
+    """Id lists laid end to end."""
+
+    def __init__(self, lists, sizes: np.ndarray) -> None:
+        self.n = np.array([len(x) for x in lists], np.int64)
+        self.ids = np.concatenate([np.zeros(0, np.int64), *(np.asarray(x, np.int64) for x in lists)])
+        self.size = sizes[self.ids]
+
+    def sums(self) -> np.ndarray:
+        """Bytes of each list."""
+        at = np.concatenate([[0], np.cumsum(self.size)])
+        ends = np.cumsum(self.n)
+        return at[ends] - at[ends - self.n]
+
+
 class Units:
-    """Tokens, links and group strings of units, worked out once each."""
+    """Tokens, links and group strings of units, worked out once each, many at a time."""
 
     def __init__(self, tokenizer: str, model: str) -> None:
-        import os
-
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         import sentencepiece
-        from tokenizers import Tokenizer
 
-        self.tok = Tokenizer.from_file(tokenizer)
-        self.tok.encode_special_tokens = True
+        self.coder = PieceCache(tokenizer)
+        self.coder.tok.encode_special_tokens = True
         self.sp = sentencepiece.SentencePieceProcessor(model_file=model)
-        self.bytes_a, self.bytes_b = _vocabulary_a(self.tok), _vocabulary_b(self.sp)
-        self.size_a = np.array([len(x or b"") for x in self.bytes_a], np.int64)
+        self.bytes_a, self.bytes_b = _vocabulary_a(self.coder.tok), _vocabulary_b(self.sp)
+        self.size_a = np.array([len(x) for x in self.bytes_a], np.int64)
         self.size_b = np.array([len(x) for x in self.bytes_b], np.int64)
+        self.digits, self.n_digits = _digits(max(len(self.bytes_a), len(self.bytes_b)))
         self.shift = max(1, len(self.bytes_a) - 1).bit_length()
-        self.forget()
-
-    def forget(self) -> None:
         self.known: dict[str, int] = {}      # unit without its leading space -> number
         self.strings: list[bytes] = []       # group strings
         self.whole: list[bool] = []          # cut as far as it can be
         self.facts = [np.zeros((0, 4), np.int64)]   # n_a (-1: not lossless), n_b, n_groups, n_links
         self.links = [np.zeros(0, np.int64)]        # side << shift | other
 
+    def trim(self) -> None:
+        """Keep the first ``UNITS`` units, the frequent ones: they come early."""
+        if len(self.strings) <= UNITS:
+            return
+        facts, starts, links = self.tables()
+        end = int(starts[UNITS])
+        self.facts, self.links = [facts[:UNITS].copy()], [links[:end].copy()]
+        del self.strings[UNITS:], self.whole[UNITS:]
+        while len(self.known) > UNITS:
+            self.known.popitem()             # the latest first
+
+    def _coded(self, units: list[str]) -> tuple[list[np.ndarray], list[np.ndarray]]:
+        """A and B ids of each unit. Units without white space at their ends go to A side by side
+        (a NUL in front would mean something else to that coder)."""
+        coded = self.coder.code([u for u in units if u and not u[0].isspace() and u[0] != "\0"])
+        rest = [u for u in units if u not in coded]
+        coded.update(zip(rest, self.coder.library([" " + u for u in rest]), strict=True))
+        return [np.frombuffer(coded[u], "<u4") for u in units], self.sp.encode(units, num_threads=1)
+
     def add(self, units: list[str]) -> None:
-        first, facts, links = len(self.strings), np.zeros((len(units), 4), np.int64), []
-        coded = self.tok.encode_batch_fast([" " + u for u in units], add_special_tokens=False)
-        for k, (u, e, ids_b) in enumerate(zip(units, coded, self.sp.encode(units, num_threads=1), strict=True)):
-            self.known[u] = first + k
-            self.whole.append(bool(u) and not u[0].isspace() and not u[-1].isspace() and " " not in u)
-            ids_a, raw = e.ids, (" " + u).encode("utf-8")
-            if b"".join([self.bytes_a[i] or b"" for i in ids_a]) != raw or b"".join([self.bytes_b[i] for i in ids_b]) != raw:
-                facts[k, 0] = -1
-                self.strings.append(b"")
-                continue
-            at_a, at_b, closes = align(self.size_a[ids_a], self.size_b[ids_b])
-            links.append((np.array(ids_b, np.int64)[at_b] << self.shift) | np.array(ids_a, np.int64)[at_a])
-            parts, p, q = [], 0, 0
-            for a, b in zip(at_a[closes].tolist(), at_b[closes].tolist(), strict=True):
-                parts.append(",".join(map(str, ids_a[p:a + 1])) + "|" + ",".join(map(str, ids_b[q:b + 1])))
-                p, q = a + 1, b + 1
-            facts[k] = len(ids_a), len(ids_b), len(parts), len(at_a)
-            self.strings.append(";".join(parts).encode())
+        first = len(self.strings)
+        self.known.update(zip(units, range(first, first + len(units)), strict=True))
+        self.whole += [bool(u) and not u[0].isspace() and not u[-1].isspace() and " " not in u for u in units]
+        ids_a, ids_b = self._coded(units)
+        raw = [(" " + u).encode("utf-8") for u in units]
+        size = np.array([len(r) for r in raw], np.int64)
+        a, b = _Flat(ids_a, self.size_a), _Flat(ids_b, self.size_b)
+        facts, strings = np.zeros((len(units), 4), np.int64), [b""] * len(units)
+        facts[:, 0] = -1
+        good = list(range(len(units)))
+        joined = b"".join(raw)
+        if (a.sums() != size).any() or (b.sums() != size).any() or b"".join(map(self.bytes_a.__getitem__, a.ids.tolist())) != joined \
+                or b"".join(map(self.bytes_b.__getitem__, b.ids.tolist())) != joined:
+            good = [k for k in good if b"".join([self.bytes_a[i] for i in ids_a[k].tolist()]) == raw[k]
+                    and b"".join([self.bytes_b[i] for i in ids_b[k]]) == raw[k]]
+            a, b = _Flat([ids_a[k] for k in good], self.size_a), _Flat([ids_b[k] for k in good], self.size_b)
+        if good:
+            self._aligned(good, a, b, facts, strings)
         self.facts.append(facts)
-        self.links.append(np.concatenate(links) if links else np.zeros(0, np.int64))
+        self.strings += strings
+
+    def _aligned(self, good: list[int], side_a: _Flat, side_b: _Flat, facts: np.ndarray, strings: list[bytes]) -> None:
+        """Links and group strings of units laid end to end: both sides' bytes are the same, so
+        no link or group crosses from one unit to the next."""
+        flat_a, flat_b, n_a, n_b = side_a.ids, side_b.ids, side_a.n, side_b.n
+        ends_a, ends_b = np.cumsum(side_a.size), np.cumsum(side_b.size)
+        a, b, closes = align(side_a.size, side_b.size)
+        last = np.cumsum(n_b) - 1                                  # each unit's last B token
+        unit = np.searchsorted(ends_b[last], ends_b[b])            # of each link
+        n = len(good)
+        facts[good] = np.stack([n_a, n_b, np.bincount(unit[closes], minlength=n), np.bincount(unit, minlength=n)], axis=1)
+        self.links.append((flat_b[b] << self.shift) | flat_a[a])
+        # the strings: tokens in order of group, side and place, each with its mark behind
+        group_ends = ends_b[b[closes]]
+        group_a, group_b = np.searchsorted(group_ends, ends_a), np.searchsorted(group_ends, ends_b)
+        mark_a = np.where(group_ends[group_a] == ends_a, ord("|"), ord(","))
+        mark_b = np.where(group_ends[group_b] == ends_b, ord(";"), ord(","))
+        ids = np.concatenate([flat_a, flat_b])
+        size = self.n_digits[ids] + 1
+        size[len(flat_a) + last] -= 1                              # nothing behind a unit's last token
+        chars = self.digits[ids]
+        chars[np.arange(len(ids)), self.n_digits[ids]] = np.concatenate([mark_a, mark_b])
+        order = np.argsort(np.concatenate([2 * group_a, 2 * group_b + 1]), kind="stable")
+        text = chars[order][np.arange(chars.shape[1])[None, :] < size[order][:, None]].tobytes()
+        of_unit = np.concatenate([np.repeat(np.arange(n), n_a), np.repeat(np.arange(n), n_b)])
+        ends = np.cumsum(np.bincount(of_unit, weights=size, minlength=n).astype(np.int64)).tolist()
+        for k, lo, hi in zip(good, [0, *ends], ends, strict=False):
+            strings[k] = text[lo:hi]
 
     def numbers(self, texts: list[str]) -> list[list[int]]:
         """The units of each text."""
-        if len(self.strings) > UNITS:
-            self.forget()
+        self.trim()
         cut = [t.split(" ") for t in texts]
         new = dict.fromkeys(u for units in cut for u in units if u not in self.known)
         if new:
@@ -290,6 +354,7 @@ def _write_runs(tokenizer: str, model: str, run_links: int):
                 at += len(some)
         if gathered.ids:
             yield from gathered.rows()
+        released()
 
     return run
 
