@@ -28,6 +28,7 @@ without any is all main text); empty tables give no rows.
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 from html import unescape
@@ -46,10 +47,15 @@ EPOCHS = 8
 
 # Element kinds of HTML.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style noscript template textarea title iframe svg math select object canvas audio video "
-                "datalist button option".split())
+RAW = frozenset("script style noscript template textarea title iframe xmp noembed noframes".split())
+# Elements whose text is no text of the page; a block's start tag closes those of the second list where their end tag is missing.
+DROPPED = frozenset("button option optgroup select datalist svg annotation annotation-xml canvas audio video object".split())
+SHORT = frozenset("button option optgroup select datalist svg annotation annotation-xml".split())
+HEAD_TAGS = frozenset("html head base link meta title style script noscript template".split())
 INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q rp rt ruby s "
-                   "samp small span strike strong sub sup time tt u var wbr br img nobr".split())
+                   "samp small span strike strong sub sup time tt u var wbr br img nobr "
+                   "math mi mn mo ms mtext mrow mfrac msup msub msubsup msqrt mroot mover munder munderover mtable mtr mtd mspace "
+                   "mstyle mpadded mphantom menclose semantics".split())
 CLOSES_P = frozenset("address article aside blockquote center details dialog dir div dl fieldset figcaption figure "
                      "footer form h1 h2 h3 h4 h5 h6 header hgroup hr main menu nav ol p pre section table ul".split())
 SIBLINGS = {"li": frozenset(["li"]), "dt": frozenset(["dt", "dd"]), "dd": frozenset(["dt", "dd"]),
@@ -72,9 +78,10 @@ OTHER_WORDS = {
     "form": "newsletter subscribe signup search login form search-form contact",
 }
 
+# A quote opens a value after "=" only; one that nothing closes is a character of the tag.
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"
-                    r"|<(/?)([A-Za-z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S)
-_ATTRIBUTE = re.compile(r"\b(class|id|role|itemprop|hidden|style|aria-hidden)\s*(?:=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?", re.I)
+                    r"|<(/?)([A-Za-z][^\s/>]*)((?:[^>=]++|=\s*+(?:\"[^\"]*+\"|'[^']*+'|(?![\"'])[^\s>]*+|[\"']))*+)(?:>|\Z)", re.S)
+_ATTRIBUTE = re.compile(r"([^\s=/]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s]*)))?")
 _WORD = re.compile(r"[A-Za-z]+")
 _CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z])")
 
@@ -93,22 +100,25 @@ class _Element:
     tag: str
     words: tuple[str, ...] = ()
     hidden: bool = False
+    dropped: bool = False
 
 
 def _element(tag: str, attributes: str) -> _Element:
     words: list[str] = []
     hidden = False
-    if "=" in attributes or "hidden" in attributes:
+    if "=" in attributes or "hidden" in attributes.lower():
+        seen = set()
         for m in _ATTRIBUTE.finditer(attributes):
             name = m[1].lower()
+            if name in seen:                     # the first of its name counts
+                continue
+            seen.add(name)
             value = m[2] or m[3] or m[4] or ""
             if name == "hidden":
                 hidden = True
-            elif name == "aria-hidden":
-                hidden = hidden or value.strip().lower() == "true"
             elif name == "style":
                 hidden = hidden or re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value, re.I) is not None
-            else:
+            elif name in ("class", "id", "role", "itemprop"):
                 words += [w.lower() for part in value.split() for w in _WORD.findall(_CAMEL.sub(" ", part))]
     return _Element(tag, tuple(dict.fromkeys(words)), hidden)
 
@@ -121,7 +131,9 @@ def blocks(html: str | None) -> list[Block]:
     stack: list[_Element] = [_Element("")]
     text: list[str] = []
     linked = 0
-    in_link = hidden = 0
+    in_link = hidden = dropped = 0
+    unclosed: set[str] = set()       # raw elements without a further end tag
+    is_open: Counter[str] = Counter()  # tags of the stack
 
     def flush() -> None:
         nonlocal linked
@@ -137,18 +149,26 @@ def blocks(html: str | None) -> list[Block]:
 
     def pop(k: int) -> None:
         """Close the elements from position ``k`` of the stack on."""
-        nonlocal in_link, hidden
+        nonlocal in_link, hidden, dropped
         while len(stack) > k:
             e = stack.pop()
             in_link -= e.tag == "a"
             hidden -= e.hidden
+            dropped -= e.dropped
+            is_open[e.tag] -= 1
+
+    def place_of(tag: str) -> int:
+        """Of the innermost open element of a tag; 0: none."""
+        return next((k for k in range(len(stack) - 1, 0, -1) if stack[k].tag == tag), 0) if is_open[tag] else 0
 
     at, n = 0, len(html)
     while at < n:
         m = _TOKEN.search(html, at)
         end = m.start() if m else n
-        if end > at:
+        if end > at and not dropped:
             piece = html[at:end]
+            if stack[-1].tag == "head" and not piece.isspace():
+                pop(len(stack) - 1)
             text.append(piece)
             if in_link:
                 linked += len(piece.strip())
@@ -156,24 +176,42 @@ def blocks(html: str | None) -> list[Block]:
             break
         at = m.end()
         if m[2] is None:
-            if m[0].startswith("<![CDATA["):
+            if m[0].startswith("<![CDATA[") and not dropped:
                 text.append(m[0][9:].removesuffix("]]>"))
             continue
         tag = m[2].lower()
         if m[1]:
-            place = next((k for k in range(len(stack) - 1, 0, -1) if stack[k].tag == tag), 0)
-            if tag not in INLINE:
+            place = place_of(tag)
+            if tag in DROPPED:
+                if place and all(e.tag in INLINE or e.dropped for e in stack[place + 1:]):
+                    pop(place)
+            elif tag not in INLINE:
                 flush()
                 if place:
                     pop(place)
             elif place and all(e.tag in INLINE for e in stack[place:]):
                 pop(place)
             continue
+        if tag not in HEAD_TAGS:
+            place = place_of("head")
+            if place:                # its end tag may be left out
+                flush()
+                pop(place)
         if tag in RAW:
-            closing = re.compile(rf"</{re.escape(tag)}\b[^>]*>", re.I).search(html, at)
+            closing = None if tag in unclosed else re.compile(rf"</{re.escape(tag)}\b[^>]*>", re.I).search(html, at)
+            if closing is None:
+                unclosed.add(tag)
             if not m[3].endswith("/"):
                 at = closing.end() if closing else n if tag in ("script", "style") else at
             continue
+        if tag in DROPPED:
+            if tag in ("option", "optgroup") and stack[-1].tag == "option" or tag == "button" and stack[-1].tag == "button":
+                pop(len(stack) - 1)
+            if not m[3].endswith("/"):
+                stack.append(_Element(tag, dropped=True))
+                dropped += 1
+                is_open[tag] += 1
+            continue
         if tag == "br":
             text.append("\n")
             continue
@@ -182,9 +220,14 @@ def blocks(html: str | None) -> list[Block]:
                 flush()
             continue
         if tag not in INLINE:
+            if tag in CLOSES_P and any(is_open[t] for t in SHORT):
+                place = next((k for k in range(len(stack) - 1, 0, -1) if stack[k].tag not in INLINE and stack[k].tag not in SHORT), 0)
+                short = next((k for k in range(place + 1, len(stack)) if stack[k].tag in SHORT), 0)
+                if short:
+                    pop(short)
             flush()
             if tag in CLOSES_P:
-                place = next((k for k in range(len(stack) - 1, 0, -1) if stack[k].tag == "p"), 0)
+                place = place_of("p")
                 if place and not any(e.tag in ("table", "button") for e in stack[place:]):
                     pop(place)
             if tag in SIBLINGS:
@@ -198,6 +241,7 @@ def blocks(html: str | None) -> list[Block]:
             continue
         e = _element(tag, m[3])
         stack.append(e)
+        is_open[tag] += 1
         in_link += tag == "a"
         hidden += e.hidden
     flush()
