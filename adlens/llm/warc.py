@@ -263,15 +263,18 @@ def _entry(file: str, x: Record | Gap, payload: bool) -> dict:
             "payload": x.payload if payload else None}
 
 
-def read_warc(spark: SparkSession, path: str, payload: bool = True) -> DataFrame:
+def read_warc(spark: SparkSession, path: str, payload: bool = True, strict: bool = False) -> DataFrame:
     """One row per record, and one per gap (``gap``: the check that failed;
-    ``offset`` and ``length``: the quarantined bytes) of the archives in ``path``."""
+    ``offset`` and ``length``: the quarantined bytes) of the archives in ``path``.
+    ``strict``: a gap ends the job with an error instead, for archives that must be whole."""
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for k in range(batch.num_rows):
                 file, data = batch.column(0)[k].as_py(), batch.column(1)[k].as_py()
                 part, size = [], 0
                 for x in salvage(data):
+                    if strict and isinstance(x, Gap):
+                        raise ValueError(f"{file}: {x.length} bytes from {x.offset} on hold no record: {x.reason}")
                     part.append(_entry(file, x, payload))
                     size += x.length if payload else 200
                     if size >= 8 << 20:
@@ -285,10 +288,10 @@ def read_warc(spark: SparkSession, path: str, payload: bool = True) -> DataFrame
 
 def archive_report(pages: DataFrame, page_id: str = "page_id", url: str = "url", html: str = "html",
                    out: str | None = None) -> DataFrame:
-    """Write the pages to archives, read them back: a row per page's record."""
+    """Write the pages to archives, read them back: a row per page's record. Archives that don't read back whole fail."""
     out = out or scratch(pages.sparkSession, "warc")
     write_warc(pages, out, page_id, url, html, members=True)
-    back = read_warc(pages.sparkSession, out, payload=False).filter("gap IS NULL")
+    back = read_warc(pages.sparkSession, out, payload=False, strict=True)
 
     def number(name: str) -> Column:
         return F.expr(f"try_cast(regexp_extract({name}, '^<{_URN}(-?[0-9]+)>$', 1) AS BIGINT)")

@@ -453,6 +453,8 @@ def test_warc_salvage_recovers_later_records(spark, tmp_path):
     (tmp_path / "bad" / "a.warc").write_bytes(broken)
     read = warc.read_warc(spark, str(tmp_path / "bad")).collect()
     assert sum(r["gap"] is None for r in read) == 4 and all(r["payload"] for r in read if r["gap"] is None)
+    with pytest.raises(Exception, match="hold no record"):      # what the report of its own archives does with a gap
+        warc.read_warc(spark, str(tmp_path / "bad"), strict=True).collect()
 
 
 def test_warc_members_written_are_read_and_salvaged(spark, tmp_path):
