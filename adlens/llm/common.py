@@ -11,7 +11,8 @@ import ctypes
 import gc
 import sys
 import uuid
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
+from typing import Any
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -92,9 +93,31 @@ def with_struct(df: DataFrame, result: Column, fields: list[str]) -> DataFrame:
             .select(*keep, *[F.col(f"{tmp}.{f}").alias(f) for f in fields]))
 
 
-def slices(batches: Iterator, rows: int = 500) -> Iterator:
+_HELD: dict[tuple, object] = {}
+
+
+def held(kind: str, key: object, make: Callable[[], Any]) -> Any:
+    """What a Python worker remembers between tasks (models, caches), of one operator at a time:
+    Spark keeps workers alive and hands them the next operator's tasks, when the last one's memory is no use."""
+    if (kind, key) not in _HELD:
+        forget_others(kind)
+        _HELD[kind, key] = make()
+    return _HELD[kind, key]
+
+
+def forget_others(kind: str) -> None:
+    gone = [k for k in _HELD if k[0] != kind]
+    for k in gone:
+        del _HELD[k]
+    if gone:
+        released()
+
+
+def slices(batches: Iterator, rows: int = 500, kind: str = "") -> Iterator:
     """Arrow batches (arrays, tuples of arrays or record batches) in smaller
-    slices, so Python holds few rows' objects at a time."""
+    slices, so Python holds few rows' objects at a time. ``kind``: the operator whose
+    remembered things stay (see :func:`held`)."""
+    forget_others(kind)
     for batch in batches:
         n = len(batch[0]) if isinstance(batch, tuple) else len(batch)
         for k in range(0, n, rows):

@@ -41,7 +41,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from adlens.llm.automaton import SuffixAutomaton
-from adlens.llm.common import fold, quoted, share, slices, with_struct
+from adlens.llm.common import fold, held, quoted, share, slices, with_struct
 
 UNKNOWN = "und"
 TRAIN_DOCS = 60
@@ -212,14 +212,8 @@ def limits(texts: dict[str, list[str]]) -> dict[str, float]:
     return out
 
 
-_BUILT: dict[str, LanguageModel] = {}
-
-
 def _model(key: str, texts: dict[str, list[str]]) -> LanguageModel:
-    if key not in _BUILT:
-        _BUILT.clear()  # one model at a time per worker
-        _BUILT[key] = LanguageModel(texts)
-    return _BUILT[key]
+    return held("language " + key, key, lambda: LanguageModel(texts))   # one model at a time per worker
 
 
 def identify(docs: DataFrame, texts: dict[str, list[str]], text: str = "text") -> DataFrame:
@@ -231,7 +225,7 @@ def identify(docs: DataFrame, texts: dict[str, list[str]], text: str = "text") -
     @F.arrow_udf(_RESULT)
     def predict(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         model = _model(key, shared.value)
-        for part in slices(batches, 2_000):
+        for part in slices(batches, 2_000, "language " + key):
             langs, scores = model.predict(part.to_pylist())
             yield pa.StructArray.from_arrays([pa.array(langs, type=pa.string()), pa.array(scores)], names=_RESULT.names)
 
@@ -248,7 +242,7 @@ def keep_recognised(docs: DataFrame, texts: dict[str, list[str]], text: str = "t
     @F.arrow_udf(T.BooleanType())
     def recognised(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         model = _model(key, shared.value)
-        for part in slices(batches, 2_000):
+        for part in slices(batches, 2_000, "language " + key):
             yield pa.array(model.recognised(part.to_pylist(), most))
 
     return docs.filter(recognised(F.col(quoted(text))))

@@ -42,11 +42,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from adlens.llm.common import quoted, slices, with_struct
+from adlens.llm.common import held, quoted, slices, with_struct
 from adlens.llm.token_ids import id_lists
 
 MARK = "\u2581"
-CACHE_SEGMENTS = 400_000
+CACHE_SEGMENTS = 250_000
 SEGMENT_CHARS = 64       # longer segments are not remembered
 _UNKNOWN_PENALTY = 10.0
 
@@ -296,13 +296,8 @@ def _opened(s: str) -> list[str]:
     return [s[a:b] for a, b in zip(cuts, cuts[1:], strict=False)]
 
 
-_LOADED: dict[str, PieceModel] = {}
-
-
 def loaded(path: str) -> PieceModel:
-    if path not in _LOADED:
-        _LOADED[path] = PieceModel(path)
-    return _LOADED[path]
+    return held("pieces", path, lambda: PieceModel(path))
 
 
 def encode(docs: DataFrame, model: str, text: str = "text") -> DataFrame:
@@ -312,7 +307,7 @@ def encode(docs: DataFrame, model: str, text: str = "text") -> DataFrame:
     @F.arrow_udf(kind)
     def code(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         m = loaded(model)
-        for texts in slices(batches):
+        for texts in slices(batches, kind="pieces"):
             rows = [m.encode(t) for t in texts.to_pylist()]
             n = pa.array([len(r) // 4 for r in rows], type=pa.int64())
             yield pa.StructArray.from_arrays([id_lists(rows), n], names=kind.names)
@@ -325,7 +320,7 @@ def decode(ids, model: str):
     @F.arrow_udf(T.StringType())
     def text(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         m = loaded(model)
-        for lists in slices(batches, 100):
+        for lists in slices(batches, 100, "pieces"):
             flat, at, out = lists.flatten().to_numpy(zero_copy_only=False).tolist(), 0, []
             for n in lists.value_lengths().to_pylist():
                 out.append(None if n is None else m.decode(flat[at:at + n]))

@@ -38,7 +38,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from adlens.llm.common import quoted, scratch, slices
+from adlens.llm.common import held, quoted, scratch, slices
 
 CACHE_PIECES = 500_000   # pieces remembered per worker
 END_ID = 0
@@ -169,13 +169,8 @@ class PieceCache:
         return pool.take(pa.array(at)).flatten().to_numpy(), n
 
 
-_LOADED: dict[str, PieceCache] = {}
-
-
 def _loaded(path: str) -> PieceCache:
-    if path not in _LOADED:
-        _LOADED[path] = PieceCache(path)
-    return _LOADED[path]
+    return held("token ids", path, lambda: PieceCache(path))
 
 
 def _chunks(texts: pa.Array, size: int = 8 << 20) -> Iterator[pa.Array]:
@@ -207,7 +202,7 @@ def _encode_udf(path: str, end_id: int):
     @F.arrow_udf(_ENCODED)
     def encode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         model, at = _loaded(path), 0
-        for batch in slices(batches, 2000):
+        for batch in slices(batches, 2000, "token ids"):
             lists = [_closed(*model.encode(part), end_id)
                      for part in _chunks(batch.cast(pa.large_string()).fill_null(""))]
             ids = pa.concat_arrays(lists) if lists else id_lists([])

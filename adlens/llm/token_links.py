@@ -51,7 +51,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from adlens.llm.common import quoted, released, stored
+from adlens.llm.common import held, quoted, released, stored
 from adlens.llm.token_ids import PieceCache
 
 RADICES = 64
@@ -234,13 +234,8 @@ class Units:
         return self.facts[0], ends - self.facts[0][:, 3], self.links[0]
 
 
-_LOADED: dict[tuple[str, str], Units] = {}
-
-
 def _loaded(tokenizer: str, model: str) -> Units:
-    if (tokenizer, model) not in _LOADED:
-        _LOADED[tokenizer, model] = Units(tokenizer, model)
-    return _LOADED[tokenizer, model]
+    return held("token links", (tokenizer, model), lambda: Units(tokenizer, model))
 
 
 # --- zstd blocks -------------------------------------------------------------
