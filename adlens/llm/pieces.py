@@ -46,7 +46,7 @@ from adlens.llm.common import held, quoted, slices, with_struct
 from adlens.llm.token_ids import id_lists
 
 MARK = "\u2581"
-CACHE_SEGMENTS = 250_000
+CACHE_SEGMENTS = 100_000
 SEGMENT_CHARS = 64       # longer segments are not remembered
 _UNKNOWN_PENALTY = 10.0
 
