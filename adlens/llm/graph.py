@@ -29,7 +29,7 @@ def components(edges: DataFrame) -> DataFrame:
     graph's size. Each node's stand is carried along, written every round (the lineage ends there), so no
     plan grows with the rounds. A hot node costs one aggregated row a task; no group is collected.
     """
-    pairs = edges.filter("u <> v").select("u", "v")
+    pairs = stored(edges.filter("u <> v").select("u", "v"), "pairs")   # read twice, computed once
     named = stored(pairs.select(F.col("u").alias("node")).unionByName(pairs.select(F.col("v").alias("node"))).distinct()
                    .select("node", scrambled(F.col("node")).alias("at")), "nodes")
     low, high = F.least("a", "b").alias("u"), F.greatest("a", "b").alias("v")
