@@ -95,3 +95,19 @@ def test_bucketed_tables_are_found_by_a_new_session(spark):
 def test_layout_without_buckets(spark):
     m = load_model(spark, SF_SMALL, buckets=0)
     assert m.sessions.count() == load_model(spark, SF_SMALL).sessions.count()
+
+
+def test_files_grow_with_the_input_not_with_shuffle_partitions(spark):
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", "64")
+        m = load_model(spark, SF_SMALL)
+        days = m.sessions.select("session_day").distinct().count()
+        assert len(m.sessions.inputFiles()) <= M.LEAST_BUCKETS * days
+        assert len(m.clicks.inputFiles()) <= M.LEAST_BUCKETS * days
+        spark.conf.set("spark.sql.shuffle.partitions", "600")
+        assert M.bucket_count(spark, 0) == M.LEAST_BUCKETS
+        assert M.bucket_count(spark, 100 * M.BUCKET_BYTES) == 100
+        assert M.bucket_count(spark, 10_000 * M.BUCKET_BYTES) == 600       # a bucket for each shuffle partition
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)
