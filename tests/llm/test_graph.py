@@ -82,3 +82,18 @@ def brute(rows, cosine=0.9):
 def test_vectors_that_share_ids(spark, rows):
     got = vector_join.link_report(spark.createDataFrame([(i, v and list(map(float, v))) for i, v in rows], "vec_id long, embedding array<double>").repartition(3)).collect()
     assert sorted((tuple(r) for r in got), key=str) == brute(rows)
+
+
+def test_small_graphs_take_few_tasks(spark):
+    conf = {"spark.sql.shuffle.partitions": "64", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    old = {k: spark.conf.get(k) for k in conf}
+    edges = [(k, k + 1) for k in range(0, 600, 2)] + [(k, k + 7) for k in range(0, 600, 5)]
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        out = components(spark.createDataFrame(edges, "u long, v long"))
+        assert len(out.inputFiles()) == 1
+        assert {r["node"]: r["component"] for r in out.collect()} == plain(edges)
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
