@@ -46,7 +46,8 @@ from adlens.llm.common import held, quoted, slices, with_struct
 from adlens.llm.token_ids import id_lists
 
 MARK = "\u2581"
-CACHE_SEGMENTS = 100_000
+CACHE_WORDS = 100_000    # the frequent ones, by one look-up a word
+CACHE_SEGMENTS = 400_000  # what the others consist of: far fewer than the words, but a worker on 0.5 GB meets hundreds of thousands
 SEGMENT_CHARS = 64       # longer segments are not remembered
 _UNKNOWN_PENALTY = 10.0
 
@@ -245,8 +246,6 @@ class PieceModel:
         """Ids of a stretch, cut where no piece joins two characters."""
         joined, cache = self.joined, self.cache
         cuts = [k for k in range(1, len(s)) if s[k - 1:k + 1] not in joined]
-        if not cuts:
-            return self._segment(s)
         out = []
         for a, b in zip([0, *cuts], [*cuts, len(s)], strict=True):
             part = s[a:b]
@@ -280,7 +279,7 @@ class PieceModel:
                 got = self.words.get(w)
                 if got is None:
                     got = self._cut(MARK + w)
-                    if len(w) < SEGMENT_CHARS and len(self.words) < CACHE_SEGMENTS:
+                    if len(w) < SEGMENT_CHARS and len(self.words) < CACHE_WORDS:
                         self.words[w] = got
                 out[k] = got
         return b"".join(out)
