@@ -17,8 +17,9 @@ one boundary, the ids before it are committed and the window drops them. The
 result equals a pass over the whole text.
 
 Two characters that are neighbours in no piece are a boundary of every path: a
-convergence known beforehand. Texts are cut there, and the ids of segments are
-remembered in a bounded cache.
+convergence known beforehand. Many texts at a time are cut there; the pass runs
+over each distinct segment once, and a bounded cache remembers the ids of those
+met lately.
 
 The text is coded without loss: a space becomes the mark, one mark is put in
 front, a character without a piece (and a literal mark) becomes byte pieces.
@@ -34,10 +35,12 @@ own; empty tables give no rows.
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -46,8 +49,8 @@ from adlens.llm.common import held, quoted, slices, with_struct
 from adlens.llm.token_ids import id_lists
 
 MARK = "\u2581"
-CACHE_WORDS = 100_000    # the frequent ones, by one look-up a word
-CACHE_SEGMENTS = 400_000  # what the others consist of: far fewer than the words, but a worker on 0.5 GB meets hundreds of thousands
+CACHE_SEGMENTS = 200_000  # and so many again from before (see ``Recent``): a worker on 0.5 GB meets hundreds of thousands
+CACHE_FITS = 400_000
 SEGMENT_CHARS = 64       # longer segments are not remembered
 _UNKNOWN_PENALTY = 10.0
 
@@ -78,6 +81,27 @@ def is_bpe(serialized: bytes) -> bool:
     return any(v == 2 for n, spec in _fields(serialized) if n == 2 for m, v in _fields(spec) if m == 3)
 
 
+class Recent(dict):
+    """What was asked for lately: ``size`` entries become ``before`` and make room; those asked for
+    again come back. So what a later part of a corpus repeats is remembered too."""
+
+    def __init__(self, size: int) -> None:
+        super().__init__()
+        self.size, self.before = size, {}
+
+    def __missing__(self, key: str) -> bytes | None:
+        got = self.before.get(key)
+        if got is not None:
+            self.keep(key, got)
+        return got
+
+    def keep(self, key: str, value: bytes) -> None:
+        if len(self) >= self.size:
+            self.before = dict(self)
+            self.clear()
+        self[key] = value
+
+
 class PieceModel:
     def __init__(self, path: str | None = None, pieces: dict[str, tuple[int, float]] | None = None,
                  byte_ids: list[int] | None = None, bpe: bool = False) -> None:
@@ -103,9 +127,14 @@ class PieceModel:
                 node = node.setdefault(c, {})
             node[""] = p
         self.joined = {p[k:k + 2] for p in pieces for k in range(len(p) - 1)}
-        self.forced = not any(MARK in p.lstrip(MARK) for p in pieces)
-        self.words: dict[str, bytes] = {}     # ids of stretches after a mark, without it
-        self.cache: dict[str, bytes] = {}     # ids of segments
+        #: the characters of these pairs by number (0: the others), and whether two of them are a pair
+        chars = sorted({c for pair in self.joined for c in pair})
+        self.number = np.zeros(sys.maxunicode + 1, dtype=np.uint16 if len(chars) < 1 << 16 else np.int32)
+        self.number[[ord(c) for c in chars]] = range(1, len(chars) + 1)
+        self.pairs = np.zeros((len(chars) + 1, len(chars) + 1), dtype=bool)
+        for a, b in self.joined:
+            self.pairs[self.number[ord(a)], self.number[ord(b)]] = True
+        self.cache = Recent(CACHE_SEGMENTS)   # ids of segments
         self.fits: dict[str, dict[str, bool]] = {}
         self.n_fits = 0
         self.code = {p: i.to_bytes(4, "little") for p, (i, _) in pieces.items()}
@@ -136,7 +165,7 @@ class PieceModel:
             known = self.fits[a] = {}
         got = known.get(b)
         if got is None:
-            if self.n_fits >= CACHE_SEGMENTS:
+            if self.n_fits >= CACHE_FITS:
                 self.fits.clear()
                 self.n_fits = 0
             self.n_fits += 1
@@ -145,8 +174,10 @@ class PieceModel:
 
     def _coded(self, pieces: list[str]) -> bytes:
         code = self.code
-        return b"".join([code[p] if p in code else b"".join([self.byte_ids[b].to_bytes(4, "little") for b in p.encode("utf-8")])
-                         for p in pieces])
+        return b"".join([code[p] if p in code else self.byte_code(p) for p in pieces])
+
+    def byte_code(self, s: str) -> bytes:
+        return b"".join([self.byte_ids[b].to_bytes(4, "little") for b in s.encode("utf-8")])
 
     def viterbi(self, s: str) -> Iterator[list[str]]:
         """Pieces of ``s``, committed in batches as the surviving paths converge."""
@@ -242,76 +273,85 @@ class PieceModel:
         # a piece that the merges build is the only path into its end
         return self.code[s] if self.trie.get(s) is not None else self._coded(self._within(s))
 
-    def _cut(self, s: str) -> bytes:
-        """Ids of a stretch, cut where no piece joins two characters."""
-        joined, cache = self.joined, self.cache
-        cuts = [k for k in range(1, len(s)) if s[k - 1:k + 1] not in joined]
-        out = []
-        for a, b in zip([0, *cuts], [*cuts, len(s)], strict=True):
-            part = s[a:b]
-            got = cache.get(part)
-            if got is None:
-                got = self._segment(part)
-                if len(part) <= SEGMENT_CHARS and len(cache) < CACHE_SEGMENTS:
-                    cache[part] = got
-            out.append(got)
-        return b"".join(out)
+    def _remembered(self, s: str) -> bytes:
+        got = self.cache[s]
+        if got is None:
+            got = self._segment(s)
+            if len(s) <= SEGMENT_CHARS:
+                self.cache.keep(s, got)
+        return got
+
+    def _stretches(self, stretches: pa.Array) -> list[bytes]:
+        """Ids of stretches (strings with marks for spaces), cut where no piece joins two characters."""
+        size = pc.binary_length(stretches).to_numpy(zero_copy_only=False)
+        raw = b"".join([s.as_buffer() for s in stretches])
+        ends = np.concatenate(([0], np.cumsum(size, dtype=np.int64)))
+        first = np.flatnonzero((np.frombuffer(raw, dtype=np.uint8) & 0xC0) != 0x80)      # bytes that begin a character
+        chars = self.number[np.frombuffer(raw.decode("utf-8").encode("utf-32-le"), dtype="<u4")]
+        cut = np.ones(len(first), dtype=bool)
+        cut[1:] = ~self.pairs[chars[:-1], chars[1:]]
+        cut[np.searchsorted(first, ends[:-1][size > 0])] = True
+        starts = first[cut]
+        offsets = pa.py_buffer(np.append(starts, len(raw)).astype(np.int64))
+        segments = pa.LargeStringArray.from_buffers(len(starts), offsets, pa.py_buffer(raw)).dictionary_encode()
+        known = [self._remembered(s) for s in segments.dictionary.to_pylist()]
+        ids = np.frombuffer(b"".join(known), dtype="<i4")
+        n = np.array([len(k) // 4 for k in known], dtype=np.int64)
+        at = segments.indices.to_numpy(zero_copy_only=False)
+        total = np.concatenate(([0], np.cumsum(n[at])))                 # ids before each segment
+        shift = (np.cumsum(n) - n)[at] - total[:-1]
+        out = ids[np.repeat(shift, n[at]) + np.arange(total[-1])].tobytes()
+        bounds = (4 * total[np.searchsorted(starts, ends)]).tolist()
+        return [out[a:b] for a, b in zip(bounds, bounds[1:], strict=False)]
+
+    def encode_all(self, texts: pa.Array) -> list[bytes]:
+        """Ids of each text as little-endian 32-bit integers; literal marks become bytes."""
+        text = pa.large_string()
+        literal, mark, none = self.byte_code(MARK), pa.scalar(MARK, text), pa.scalar("", text)
+        texts = pc.fill_null(texts.cast(text), none)
+        marked = pc.match_substring(texts, MARK)
+        whole = pc.binary_join_element_wise(mark, pc.replace_substring(texts, " ", MARK), none)
+        out = self._stretches(pc.if_else(pc.or_(marked, pc.equal(texts, none)), none, whole))
+        for k in np.flatnonzero(marked.to_numpy(zero_copy_only=False)).tolist():
+            parts = [p.replace(" ", MARK) for p in texts[k].as_py().split(MARK)]
+            out[k] = literal.join(self._stretches(pa.array([MARK + parts[0], *parts[1:]], type=text)))
+        return out
 
     def encode(self, text: str | None) -> bytes:
-        """Ids as little-endian 32-bit integers."""
-        if not text:
-            return b""
-        if MARK in text:  # literal marks become bytes
-            literal = np.array([self.byte_ids[b] for b in MARK.encode("utf-8")], dtype="<i4").tobytes()
-            parts = [p.replace(" ", MARK) for p in text.split(MARK)]
-            parts[0] = MARK + parts[0]
-            return literal.join(self._cut(p) for p in parts)
-        if not self.forced:
-            return self._cut(MARK + text.replace(" ", MARK))
-        # words after a mark; a run of marks belongs to the segment that it opens
-        words = text.split(" ")
-        if "" in words:
-            words = [w[1:] for w in _opened(MARK + text.replace(" ", MARK))]
-        out = list(map(self.words.get, words))
-        if None in out:
-            for k in [k for k, got in enumerate(out) if got is None]:
-                w = words[k]
-                got = self.words.get(w)
-                if got is None:
-                    got = self._cut(MARK + w)
-                    if len(w) < SEGMENT_CHARS and len(self.words) < CACHE_WORDS:
-                        self.words[w] = got
-                out[k] = got
-        return b"".join(out)
+        return self.encode_all(pa.array([text], type=pa.string()))[0]
 
     def decode(self, ids) -> str:
         raw = b"".join(map(self.raw.__getitem__, ids))
         return (raw[1:] if raw[:1] == b" " else raw).decode("utf-8", errors="replace")
 
 
-def _opened(s: str) -> list[str]:
-    """Cut before every mark that follows another character."""
-    cuts = [0, *(k for k in range(1, len(s)) if s[k] == MARK and s[k - 1] != MARK), len(s)]
-    return [s[a:b] for a, b in zip(cuts, cuts[1:], strict=False)]
-
-
 def loaded(path: str) -> PieceModel:
     return held("pieces", path, lambda: PieceModel(path))
 
 
-def encode(docs: DataFrame, model: str, text: str = "text") -> DataFrame:
-    """``docs`` with ``ids`` (array<int>) and ``n_tokens`` (long)."""
-    kind = T.StructType([T.StructField("ids", T.ArrayType(T.IntegerType())), T.StructField("n_tokens", T.LongType())])
+_CODED = [T.StructField("ids", T.ArrayType(T.IntegerType())), T.StructField("n_tokens", T.LongType())]
+
+
+def _coder(model: str, fields: list[T.StructField]):
+    kind = T.StructType(fields)
 
     @F.arrow_udf(kind)
     def code(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         m = loaded(model)
-        for texts in slices(batches, kind="pieces"):
-            rows = [m.encode(t) for t in texts.to_pylist()]
-            n = pa.array([len(r) // 4 for r in rows], type=pa.int64())
-            yield pa.StructArray.from_arrays([id_lists(rows), n], names=kind.names)
+        for texts in slices(batches, 250, "pieces"):
+            rows = m.encode_all(texts)
+            out = [id_lists(rows), pa.array([len(r) // 4 for r in rows], type=pa.int64())]
+            if "lossless" in kind.names:
+                out.append(pa.array([m.decode(np.frombuffer(r, "<i4").tolist()) == (t or "")
+                                     for r, t in zip(rows, texts.to_pylist(), strict=True)], type=pa.bool_()))
+            yield pa.StructArray.from_arrays(out, names=kind.names)
+
+    return code
+
 
-    return with_struct(docs, code(F.col(quoted(text))), ["ids", "n_tokens"])
+def encode(docs: DataFrame, model: str, text: str = "text") -> DataFrame:
+    """``docs`` with ``ids`` (array<int>) and ``n_tokens`` (long)."""
+    return with_struct(docs, _coder(model, _CODED)(F.col(quoted(text))), ["ids", "n_tokens"])
 
 
 def decode(ids, model: str):
@@ -330,7 +370,7 @@ def decode(ids, model: str):
 
 
 def round_trip(docs: DataFrame, model: str, text: str = "text") -> DataFrame:
-    """``encode`` plus ``lossless``: the decoded ids are the text again."""
-    coded = encode(docs, model, text)
-    same = decode(F.col("ids"), model).eqNullSafe(F.coalesce(F.col(quoted(text)), F.lit("")))
-    return coded.withColumn("lossless", same)
+    """``encode`` plus ``lossless``: the decoded ids are the text again. One worker of a task
+    does both: each worker beside it would hold the model and remembered segments too."""
+    fields = [*_CODED, T.StructField("lossless", T.BooleanType())]
+    return with_struct(docs, _coder(model, fields)(F.col(quoted(text))), [f.name for f in fields])
