@@ -118,8 +118,13 @@ class _Forever:
 _MINUS_ONES = _Forever()
 
 
-def _scan_udf(shared: Broadcast, window: int):
-    @F.arrow_udf(_RESULT)
+def _scan_udf(shared: Broadcast, window: int, left: str | None = None):
+    """``left``: a further field, the text without its hit words where there are any."""
+    kind, arrow = _RESULT, _ARROW
+    if left:
+        kind, arrow = T.StructType([*_RESULT, T.StructField(left, T.StringType())]), pa.struct([*_ARROW, (left, pa.string())])
+
+    @F.arrow_udf(kind)
     def scan(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         index = ItemIndex(shared.value, window)
         for texts in slices(batches):
@@ -128,7 +133,9 @@ def _scan_udf(shared: Broadcast, window: int):
                 words = word_list(text)
                 hits, found = index.scan(words)
                 out.append({"n_words": len(words), "hits": hits, "items": sorted(found)})
-            yield pa.array(out, type=_ARROW)
+                if left and len(hits):
+                    out[-1][left] = cut_words(text, hits.tolist())
+            yield pa.array(out, type=arrow)
 
     return scan
 
@@ -164,14 +171,18 @@ def item_shards(items: DataFrame, item_id: str, text: str, window: int = WINDOW)
 
 
 def find_overlaps(docs: DataFrame, items: DataFrame, text: str = "text", item_id: str = "item_id",
-                  item_text: str = "text", window: int = WINDOW) -> DataFrame:
+                  item_text: str = "text", window: int = WINDOW, left: str | None = None) -> DataFrame:
     """``docs`` with ``n_words`` (long), ``hits`` (positions of hit words) and
-    ``items`` (ids of the items with occurring windows)."""
+    ``items`` (ids of the items with occurring windows). ``left``: a column for
+    the text without its hit words, where there are any."""
     spark, fields = docs.sparkSession, [f.name for f in _RESULT]
     shards = item_shards(items, item_id, item_text, window)
     shard, more = next(shards), next(shards, None)
     if more is None:
-        return with_struct(docs, _scan_udf(spark.sparkContext.broadcast(shard), window)(F.col(quoted(text))), fields)
+        scan = _scan_udf(spark.sparkContext.broadcast(shard), window, left)
+        # not deterministic, so that a filter on what it found does not scan a second time, in workers of its own
+        scan = scan.asNondeterministic() if left else scan
+        return with_struct(docs, scan(F.col(quoted(text))), [*fields, left] if left else fields)
     row, found = "_row_" + uuid.uuid4().hex, "_found_" + uuid.uuid4().hex
     kept = stored(docs.withColumn(row, F.monotonically_increasing_id()), "documents")
     paths = []
@@ -189,7 +200,8 @@ def find_overlaps(docs: DataFrame, items: DataFrame, text: str = "text", item_id
         F.max("n_words").alias("n_words"),
         F.array_sort(F.array_distinct(F.flatten(F.collect_list("hits")))).alias("hits"),
         F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items")).alias(found))
-    return with_struct(kept.join(merged, row), F.col(found), fields).drop(row, found)
+    got = with_struct(kept.join(merged, row), F.col(found), fields).drop(row, found)
+    return got.withColumn(left, _cut(F.col(quoted(text)), F.col("hits"))) if left else got
 
 
 def contaminated(coverage: float = COVERAGE):
@@ -223,7 +235,8 @@ def decontaminate(docs: DataFrame, items: DataFrame, text: str = "text", item_id
                   item_text: str = "text", window: int = WINDOW, coverage: float = COVERAGE) -> DataFrame:
     """Documents whose hit words stay below ``coverage``, their benchmark spans
     (window words or longer) cut out; columns as in ``docs``."""
-    found = find_overlaps(docs, items, text, item_id, item_text, window).filter(~contaminated(coverage))
-    cut = F.when(F.size("hits") > 0, _cut(F.col(quoted(text)), F.col("hits"))).otherwise(F.col(quoted(text)))
+    left = "_left_" + uuid.uuid4().hex
+    found = find_overlaps(docs, items, text, item_id, item_text, window, left).filter(~contaminated(coverage))
+    cut = F.when(F.size("hits") > 0, F.col(left)).otherwise(F.col(quoted(text)))
     return found.select(*[cut.alias(c) if c == text else F.col(quoted(c))
                           for c in without(docs, ["n_words", "hits", "items"])])

@@ -575,6 +575,41 @@ def test_pipeline_runs_and_keeps_schemas(spark):
     assert out.columns == ["doc_id", "lang", "source", "ids", "n_tokens"] and 0 < out.count() <= docs.count()
 
 
+def test_every_pipeline_stage_bounds_the_batches_of_its_workers(spark):
+    import corpus_pipeline as P
+
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    docs = spark.read.parquet(f"{SF}/documents.parquet").limit(20)
+    for name, stage in P.STAGES:
+        spark.conf.unset(key)
+        before = spark.conf.get(key)
+        stage(spark, docs, SF)
+        assert spark.conf.get(key) != before and int(spark.conf.get(key)) <= 4 << 20, name
+
+
+def test_written_stages_and_pieces_take_one_worker_a_task(spark):
+    import corpus_pipeline as P
+
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    frames = {name: stage(spark, docs, SF) for name, stage in P.STAGES if name in ("quality", "language", "decontamination", "tokens")}
+    frames["round trip"] = pieces.round_trip(docs, PIECES)
+    for name, frame in frames.items():
+        plan = frame._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("ArrowEvalPython") == 1, name
+
+
+def test_whole_and_sharded_decontamination_leave_the_same_texts(spark, monkeypatch):
+    passage = " ".join(f"w{k}" for k in range(20))
+    lead = " ".join(f"x{k}" for k in range(500))
+    docs = docs_frame(spark, enumerate([f"{lead} {passage} end.", lead, passage, "", None, f"{lead}, {passage}! {lead} ({passage})"]))
+    items = spark.createDataFrame([(k, f"{passage} {k}" if k else passage) for k in range(30)], "item_id long, text string")
+    kept = [{r["doc_id"]: r["text"] for r in decontaminate.decontaminate(docs, items).collect()}]
+    monkeypatch.setattr(decontaminate, "SHARD_BYTES", 2_000)
+    kept.append({r["doc_id"]: r["text"] for r in decontaminate.decontaminate(docs, items).collect()})
+    assert kept[0] == kept[1] and sorted(kept[0].values(), key=str) == sorted(
+        [f"{lead}  end.", lead, "", None, f"{lead}, ! {lead} ()"], key=str)
+
+
 def test_language_stage_keeps_short_and_tied_texts(spark):
     import corpus_pipeline as P
 
